@@ -5,11 +5,11 @@ small keys and hopeless for a key holding a third of the table. ``lay_out``
 removes the dependence on key sizes: it range-sorts the whole table by
 ``keys + order``, numbers the rows, and cuts the numbering into blocks of equal
 length. Windows then run per (key, block), and what crosses a block edge is
-added afterwards:
+added on top:
 
 * a bounded number of neighbour rows is copied over the edge (``with_halo``);
-* a running value is carried by a window over one summary row per block
-  (``running``).
+* what a key's earlier or later blocks amount to is worked out from one summary
+  row per block and handed to the rows of each block (``attach``, ``running``).
 
 Sorting costs a written table, so callers first ask ``has_large_group`` and use
 the native window while every key fits.
@@ -26,7 +26,7 @@ from tallymill.session import written
 
 POSITION = "_position"
 BLOCK = "_block"
-HOME = "_home"
+SEAT = "_seat"
 
 # Keys up to this many rows are windowed natively.
 GROUP_ROWS = 4_000_000
@@ -62,23 +62,20 @@ def lay_out(
         .sortWithinPartitions(*by)
         .withColumn("_at", F.monotonically_increasing_id()),
         "layout",
-    )
-    part = F.shiftright("_at", _ROW_BITS)
+    ).withColumn("_part", F.shiftright("_at", _ROW_BITS))
     # One row per range partition, so both the single-task window and the
     # broadcast are bounded by spark.sql.shuffle.partitions.
     earlier = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        placed.groupBy(part.alias("_part"))
+        placed.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     )
     row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    position = F.col("_start") + row
     return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
-        .withColumn(POSITION, position)
-        .withColumn(BLOCK, F.floor(F.col(POSITION) / block_rows))
+        placed.join(F.broadcast(starts), "_part")
+        .withColumn(POSITION, F.col("_start") + row)
+        .withColumn(BLOCK, F.expr(f"{POSITION} div {block_rows}"))
         .drop("_part", "_start", "_at")
     )
 
@@ -100,55 +97,59 @@ def with_halo(laid_out: DataFrame, before: int, after: int, block_rows: int = BL
             F.when(inside < after, F.col(BLOCK) - 1),
         )
     )
-    return laid_out.withColumn("_seat", F.explode(seats))
+    return laid_out.withColumn(SEAT, F.explode(seats))
 
 
-@dataclass(frozen=True)
-class Running:
-    """A running value that can be computed per block and then carried on.
+def block_window(keys: Sequence[str], block: str = BLOCK):
+    return W.partitionBy(*keys, block).orderBy(POSITION)
+
 
-    ``local`` is applied to a window, ``whole`` and ``last`` are plain
-    aggregates of a block, and ``merge`` joins what came before with the local
-    value.
+def attach(rows: DataFrame, blocks: DataFrame, keys: Sequence[str], block: str = BLOCK) -> DataFrame:
+    """Give every row the columns of its block's row in ``blocks``.
+
+    The block's row travels along with the rows, in front of them, and is read
+    by a window. Unlike a join this leaves the rows partitioned and sorted for
+    the block windows that follow, so they move once, and NULL keys need no
+    special care.
     """
+    ids = [*keys, block]
+    info = [c for c in blocks.columns if c not in ids]
+    header = blocks.select(*ids, F.lit(-1).cast("long").alias(POSITION), F.struct(*info).alias("_info"))
+    up_to_here = block_window(keys, block).rowsBetween(W.unboundedPreceding, 0)
+    return (
+        rows.unionByName(header, allowMissingColumns=True)
+        .withColumn("_info", F.first("_info", ignorenulls=True).over(up_to_here))
+        .filter(F.col(POSITION) >= 0)
+        .select(*rows.columns, "_info.*")
+    )
+
+
+@dataclass(frozen=True)
+class Running:
+    """A running value: the sum, or the last known value, up to each row."""
 
     name: str
     value: Column
-    kind: str
+    sums: bool
 
-    def over(self, window) -> Column:
-        if self.kind == "total":
-            return F.sum(self.value).over(window)
-        return F.last(self.value, ignorenulls=True).over(window)
+    def over(self, window, value: Column | None = None) -> Column:
+        value = self.value if value is None else value
+        return F.sum(value).over(window) if self.sums else F.last(value, ignorenulls=True).over(window)
 
     def of_block(self) -> Column:
-        if self.kind == "total":
+        if self.sums:
             return F.sum(self.value)
         return F.max_by(self.value, F.when(self.value.isNotNull(), F.col(POSITION)))
 
-    def carried_over(self, window) -> Column:
-        carry = F.col(self.carry)
-        return F.sum(carry).over(window) if self.kind == "total" else F.last(carry, ignorenulls=True).over(window)
-
-    def merged(self) -> Column:
-        here, carry = F.col(self.name), F.col(self.carry)
-        if self.kind == "total":
-            return F.when(carry.isNull(), here).when(here.isNull(), carry).otherwise(here + carry)
-        return F.coalesce(here, carry)
-
-    @property
-    def carry(self) -> str:
-        return f"_carry_{self.name}"
-
 
 def total(name: str, value: Column) -> Running:
     """Sum of ``value`` up to and including the row. Use integers or decimals."""
-    return Running(name, value, "total")
+    return Running(name, value, sums=True)
 
 
 def latest(name: str, value: Column) -> Running:
     """Last non-null ``value`` up to and including the row."""
-    return Running(name, value, "latest")
+    return Running(name, value, sums=False)
 
 
 def running(
@@ -156,57 +157,37 @@ def running(
     keys: Sequence[str],
     order: Sequence[Column],
     values: Sequence[Running],
-    group_rows: int = GROUP_ROWS,
+    large: bool,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Add running values per key, in ``order``, whatever the key sizes."""
-    if not has_large_group(df, keys, group_rows):
+    """Add running values per key, in ``order``.
+
+    ``large`` says that some key is too large for a task. The running value of
+    the blocks before is then put in front of each block as one more row.
+    """
+    if not large:
         window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         return df.withColumns({v.name: v.over(window) for v in values})
-    return carry_blocks(lay_out(df, keys, order, block_rows), keys, values).drop(POSITION, BLOCK)
-
-
-def carry_blocks(laid_out: DataFrame, keys: Sequence[str], values: Sequence[Running]) -> DataFrame:
-    """Running values over a table that is already laid out."""
-    homed = at_home(laid_out, keys)
-    local = home_window(keys).orderBy(POSITION).rowsBetween(W.unboundedPreceding, 0)
+    # The values become columns before the layout is written, so that the rows
+    # that stand for earlier blocks can be added to them.
+    valued = df.withColumns({v.name: v.value for v in values})
+    laid_out = lay_out(valued, keys, order, block_rows)
+    values = [Running(v.name, F.col(v.name), v.sums) for v in values]
     # One row per key and block: a key of n rows has about n / block_rows of them.
     earlier = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    carries = (
-        homed.groupBy(HOME, *keys, BLOCK)
-        .agg(*[v.of_block().alias(v.carry) for v in values])
-        .withColumns({v.carry: v.carried_over(earlier) for v in values})
+    blocks = laid_out.groupBy(*keys, BLOCK).agg(*[v.of_block().alias(v.name) for v in values])
+    header = blocks.select(
+        *keys, BLOCK, F.lit(-1).cast("long").alias(POSITION), *[v.over(earlier).alias(v.name) for v in values]
     )
+    up_to_here = block_window(keys).rowsBetween(W.unboundedPreceding, 0)
     return (
-        join_homes(homed.withColumns({v.name: v.over(local) for v in values}), carries, keys)
-        .withColumns({v.name: v.merged() for v in values})
-        .drop(HOME, *[v.carry for v in values])
+        laid_out.unionByName(header, allowMissingColumns=True)
+        .withColumns({v.name: v.over(up_to_here) for v in values})
+        .filter(F.col(POSITION) >= 0)
+        .drop(POSITION, BLOCK)
     )
 
 
-def at_home(laid_out: DataFrame, keys: Sequence[str], block: str = BLOCK) -> DataFrame:
-    """Shuffle rows to the task of their (key, block), named by a non-null hash.
-
-    Windows from ``home_window`` and the join in ``join_homes`` both accept this
-    partitioning, so the rows move once. Hash collisions are harmless: both also
-    compare the keys themselves, and NULL keys form a group of their own.
-    """
-    return laid_out.withColumn(HOME, F.xxhash64(*keys, block)).repartition(HOME)
-
-
-def home_window(keys: Sequence[str], block: str = BLOCK):
-    return W.partitionBy(HOME, *keys, block)
-
-
-def join_homes(homed: DataFrame, blocks: DataFrame, keys: Sequence[str], block: str = BLOCK) -> DataFrame:
-    """Attach one row per (key, block) to the rows at home there."""
-    renamed = blocks.withColumnsRenamed({c: f"_r{c}" for c in [HOME, *keys, block]})
-    condition = F.col(HOME) == F.col(f"_r{HOME}")
-    for c in [*keys, block]:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_r{c}"))
-    return homed.join(renamed, condition).drop(*[f"_r{c}" for c in [HOME, *keys, block]])
-
-
 def match_rows(df: DataFrame, per_group: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Attach one row per group to the rows of the group; NULL ids match NULL."""
     renamed = per_group.withColumnsRenamed({c: f"_r_{c}" for c in ids})

@@ -6,7 +6,7 @@ form of ``layout`` for keys that do not. Both give the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -14,12 +14,11 @@ from tallymill.operators.layout import (
     BLOCK,
     BLOCK_ROWS,
     GROUP_ROWS,
-    HOME,
     POSITION,
-    at_home,
+    SEAT,
+    attach,
+    block_window,
     has_large_group,
-    home_window,
-    join_homes,
     lay_out,
     match_rows,
     running,
@@ -48,154 +47,168 @@ def ranks(
         rows = W.partitionBy(*keys).orderBy(*full)
         return df.withColumns(
             {
-                "row_number": F.row_number().over(rows),
-                "rank": F.rank().over(peers),
-                "dense_rank": F.dense_rank().over(peers),
+                "row_number": F.row_number().over(rows).cast("long"),
+                "rank": F.rank().over(peers).cast("long"),
+                "dense_rank": F.dense_rank().over(peers).cast("long"),
                 "ntile": F.ntile(tiles).over(rows),
                 "percent_rank": F.percent_rank().over(peers),
                 "cume_dist": F.cume_dist().over(peers),
             }
         )
-    return _ranks_by_block(lay_out(df, keys, full, block_rows), keys, by, tiles)
+    return _ranks_by_block(lay_out(df, keys, full, block_rows), df.columns, keys, by, tiles)
 
 
-def _ranks_by_block(laid_out: DataFrame, keys: Sequence[str], by: str, tiles: int) -> DataFrame:
-    homed = at_home(laid_out, keys)
-    peers = home_window(keys).orderBy(by)
-    local = homed.withColumns(
+def _ranks_by_block(
+    laid_out: DataFrame, columns: Sequence[str], keys: Sequence[str], by: str, tiles: int
+) -> DataFrame:
+    rows = block_window(keys)
+    peers = W.partitionBy(*keys, BLOCK).orderBy(by)
+    local = attach(laid_out, _block_shape(laid_out, keys, by), keys).withColumns(
         {
-            "_row": F.row_number().over(home_window(keys).orderBy(POSITION)),
+            "_row": F.row_number().over(rows),
             "_rank": F.rank().over(peers),
             "_dense": F.dense_rank().over(peers),
             # The default frame ends with the last peer, so this counts up to it.
             "_end": F.count(F.lit(1)).over(peers),
         }
     )
-    shape = _block_shape(local, keys, by)
-    value = F.col(by)
-    first_run = F.col("_joins_prev") & value.eqNullSafe(F.col("_first"))
-    last_run = F.col("_joins_next") & value.eqNullSafe(F.col("_last"))
+    first_run = F.col("_joins_prev") & F.col(by).eqNullSafe(F.col("_first"))
+    last_run = F.col("_joins_next") & F.col(by).eqNullSafe(F.col("_last"))
     row = F.col("_before") + F.col("_row")
     rank = F.when(first_run, F.col("_run_start")).otherwise(F.col("_before") + F.col("_rank"))
     end = F.when(last_run, F.col("_run_end")).otherwise(F.col("_before") + F.col("_end"))
     size = F.col("_size")
-    small, large = F.floor(size / tiles), size % tiles  # tile length; tiles one longer
-    in_large = large * (small + 1)
-    tile = F.when(row <= in_large, F.floor((row - 1) / (small + 1)) + 1).otherwise(
-        large + F.floor((row - 1 - in_large) / F.greatest(small, F.lit(1))) + 1
+    # The first size % tiles tiles are one row longer than the rest.
+    short = F.expr(f"_size div {tiles}")
+    in_long = size % tiles * (short + 1)
+    tile = F.when(row <= in_long, F.ceil(row / (short + 1))).otherwise(
+        size % tiles + F.ceil((row - in_long) / F.greatest(short, F.lit(1)))
     )
-    return (
-        join_homes(local, shape, keys)
-        .withColumns(
-            {
-                "row_number": row.cast("int"),
-                "rank": rank.cast("int"),
-                "dense_rank": (F.col("_dense_before") + F.col("_dense")).cast("int"),
-                "ntile": tile.cast("int"),
-                "percent_rank": F.when(size == 1, F.lit(0.0)).otherwise(
-                    (rank - 1) / F.greatest(size - 1, F.lit(1))
-                ),
-                "cume_dist": end / size,
-            }
-        )
-        .drop("_row", "_rank", "_dense", "_end", HOME, POSITION, BLOCK)
-        .drop(*[c for c in shape.columns if c not in keys])
+    return local.select(
+        *columns,
+        row.alias("row_number"),
+        rank.alias("rank"),
+        (F.col("_dense_before") + F.col("_dense")).alias("dense_rank"),
+        tile.cast("int").alias("ntile"),
+        F.when(size == 1, F.lit(0.0)).otherwise((rank - 1) / F.greatest(size - 1, F.lit(1))).alias("percent_rank"),
+        (end / size).alias("cume_dist"),
     )
 
 
-def _block_shape(local: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+def _block_shape(laid_out: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """One row per (key, block): what precedes it and where runs of equal values go."""
+    runs = laid_out.groupBy(*keys, BLOCK, F.col(by).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(POSITION).alias("_at")
+    )
+    # As structs, so that a NULL value can still be the first or last one.
+    ends = F.struct("_v", "_n")
+    blocks = (
+        runs.groupBy(*keys, BLOCK)
+        .agg(
+            F.sum("_n").alias("_n"),
+            F.count(F.lit(1)).alias("_values"),
+            F.min_by(ends, "_at").alias("_head"),
+            F.max_by(ends, "_at").alias("_tail"),
+        )
+        .withColumns({"_first": F.col("_head._v"), "_last": F.col("_tail._v")})
+    )
     at = W.partitionBy(*keys).orderBy(BLOCK)
     earlier = at.rowsBetween(W.unboundedPreceding, -1)
-    onwards = at.rowsBetween(0, W.unboundedFollowing)
     upto = at.rowsBetween(W.unboundedPreceding, 0)
-    blocks = local.groupBy(HOME, *keys, BLOCK).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max("_dense").alias("_values"),
-        F.min_by(F.struct(F.col(by).alias("v")), POSITION)["v"].alias("_first"),
-        F.max_by(F.struct(F.col(by).alias("v")), POSITION)["v"].alias("_last"),
-        F.min("_end").alias("_n_first"),
-        F.max("_rank").alias("_last_at"),
-    )
+    onwards = at.rowsBetween(0, W.unboundedFollowing)
     blocks = blocks.withColumns(
         {
             "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
             "_size": F.sum("_n").over(W.partitionBy(*keys)),
-            "_joins_prev": _exists(F.lag(F.lit(True)).over(at))
+            "_joins_prev": F.lag("_n").over(at).isNotNull()
             & F.col("_first").eqNullSafe(F.lag("_last").over(at)),
-            "_joins_next": _exists(F.lead(F.lit(True)).over(at))
+            "_joins_next": F.lead("_n").over(at).isNotNull()
             & F.col("_last").eqNullSafe(F.lead("_first").over(at)),
         }
     )
     # A run of equal values may cover many blocks: take its start from the block
     # where it begins and its end from the block where it stops.
     one_value = F.col("_values") == 1
-    begins = F.when(~(F.col("_joins_prev") & one_value), F.col("_before") + F.col("_last_at"))
-    stops = F.when(~(F.col("_joins_next") & one_value), F.col("_before") + F.col("_n_first"))
-    blocks = blocks.withColumns({"_begins": begins, "_stops": stops})
-    blocks = blocks.withColumns(
+    begins = F.when(
+        ~(F.col("_joins_prev") & one_value), F.col("_before") + F.col("_n") - F.col("_tail._n") + 1
+    )
+    stops = F.when(~(F.col("_joins_next") & one_value), F.col("_before") + F.col("_head._n"))
+    blocks = blocks.withColumns({"_begins": begins, "_stops": stops}).withColumns(
         {
             "_tail_start": F.last("_begins", ignorenulls=True).over(upto),
             "_head_end": F.first("_stops", ignorenulls=True).over(onwards),
             "_dense_before": F.coalesce(F.sum("_values").over(earlier), F.lit(0))
-            - F.sum(F.col("_joins_prev").cast("int")).over(upto),
+            - F.sum(F.col("_joins_prev").cast("long")).over(upto),
         }
     )
-    return blocks.withColumns(
-        {
-            "_run_start": F.lag("_tail_start").over(at),
-            "_run_end": F.lead("_head_end").over(at),
-        }
-    ).select(
-        HOME, *keys, BLOCK, "_before", "_size", "_first", "_last", "_joins_prev", "_joins_next",
-        "_run_start", "_run_end", "_dense_before",
+    return blocks.select(
+        *keys, BLOCK, "_before", "_size", "_first", "_last", "_joins_prev", "_joins_next", "_dense_before",
+        F.lag("_tail_start").over(at).alias("_run_start"),
+        F.lead("_head_end").over(at).alias("_run_end"),
     )
 
 
-def _exists(column: Column) -> Column:
-    return F.coalesce(column, F.lit(False))
-
-
 def windowed(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    columns: Mapping[str, object],
+    near: Mapping[str, Callable[..., Column]],
     before: int = 0,
     after: int = 0,
+    nth: Mapping[str, tuple[str, int]] | None = None,
     group_rows: int = GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Window columns that look at most ``before`` rows back and ``after`` ahead.
+    """Window columns over the neighbours and the first rows of each key.
 
-    ``columns`` maps a name to a function from an ordered window to a column,
-    for example ``{"prev": lambda w: F.lag("value").over(w)}``.
+    ``near`` maps a name to a function from an ordered window to a column, for
+    example ``{"prev": lambda w: F.lag("value").over(w)}``. It may look at most
+    ``before`` rows back and ``after`` ahead. ``nth`` maps a name to a column and
+    a number n: the key's nth value, NULL on the rows before it.
     """
+    nth = nth or {}
     if not has_large_group(df, keys, group_rows):
         window = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({name: make(window) for name, make in columns.items()})
-    seated = at_home(with_halo(lay_out(df, keys, order, block_rows), before, after, block_rows), keys, "_seat")
-    window = home_window(keys, "_seat").orderBy(POSITION)
+        return df.withColumns({name: make(window) for name, make in near.items()}).withColumns(
+            {name: F.nth_value(c, n).over(window) for name, (c, n) in nth.items()}
+        )
+    laid_out = lay_out(df, keys, order, block_rows)
+    seated = with_halo(laid_out, before, after, block_rows)
+    if nth:
+        # Copies that have no row of their key at home in the seat get nothing
+        # attached; they are dropped below.
+        seats = laid_out.groupBy(*keys, F.col(BLOCK).alias(SEAT)).agg(F.lit(True).alias("_one"))
+        heads = match_rows(seats, _heads(laid_out, keys, nth), keys).drop("_one")
+        seated = attach(seated, heads, keys, SEAT)
+    window = block_window(keys, SEAT)
     return (
-        seated.withColumns({name: make(window) for name, make in columns.items()})
-        .filter(F.col("_seat") == F.col(BLOCK))
-        .drop(HOME, POSITION, BLOCK, "_seat")
+        seated.withColumns({name: make(window) for name, make in near.items()})
+        .filter(F.col(SEAT) == F.col(BLOCK))
+        .withColumns(
+            {
+                name: F.when(F.col(POSITION) >= F.col("_key_start") + n - 1, F.col(f"_nth_{name}"))
+                for name, (_, n) in nth.items()
+            }
+        )
+        .select(*df.columns, *near, *nth)
     )
 
 
-def heads(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, nth: int) -> DataFrame:
-    """First and nth ``value`` of each key, one row per key.
+def _heads(laid_out: DataFrame, keys: Sequence[str], nth: Mapping[str, tuple[str, int]]) -> DataFrame:
+    """Where each key starts and its nth values, one row per key.
 
-    Filtering on ``row_number`` lets Spark drop all but ``nth`` rows per key in
-    each task before the shuffle.
+    Filtering on ``row_number`` lets Spark keep only the first rows of each key
+    in each task before the shuffle.
     """
-    place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    top = df.select(*keys, F.struct(F.col(value).alias("v")).alias("_v"), place.alias("_place")).filter(
-        F.col("_place") <= nth
-    )
+    longest = max(n for _, n in nth.values())
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(POSITION))
+    top = laid_out.withColumn("_place", place).filter(F.col("_place") <= longest)
     return top.groupBy(*keys).agg(
-        F.max(F.when(F.col("_place") == 1, F.col("_v")))["v"].alias("first_value"),
-        F.max(F.when(F.col("_place") == nth, F.col("_v")))["v"].alias("nth_value"),
+        F.min(POSITION).alias("_key_start"),
+        *[
+            F.max(F.when(F.col("_place") == n, F.struct(F.col(c).alias("v"))))["v"].alias(f"_nth_{name}")
+            for name, (c, n) in nth.items()
+        ],
     )
 
 
@@ -217,12 +230,17 @@ def percentiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    placed = running(counts, keys, [F.col("_v")], [total("_upto", F.col("_n"))], group_rows, block_rows)
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    # Rows per key bound the distinct values per key and are cheaper to count.
+    large = has_large_group(df, keys, group_rows)
+    placed = running(counts, keys, [F.col("_v")], [total("_upto", F.col("_n"))], large, block_rows)
+    sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     # Point p sits at place p * (size - 1), between two whole ranks. A value covers
     # the ranks from _upto - _n to _upto - 1; most values cover no wanted rank.
     wanted = F.array(
-        *[F.struct(F.lit(n).alias("name"), (F.lit(float(p)) * (F.col("_size") - 1)).alias("at")) for n, p in points.items()]
+        *[
+            F.struct(F.lit(n).alias("name"), (F.lit(float(p)) * (F.col("_size") - 1)).alias("at"))
+            for n, p in points.items()
+        ]
     )
 
     def covered(point: Column) -> Column:

@@ -6,11 +6,11 @@ with the rows and never with the pairs inside a key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, Running, latest, match_rows, running, total
+from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, has_large_group, latest, match_rows, running, total
 
 
 def asof_join(
@@ -21,26 +21,29 @@ def asof_join(
     tie_break: str,
     columns: Sequence[str],
     inclusive: bool = True,
+    large: bool | None = None,
     group_rows: int = GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Each left row with ``columns`` of the latest right row at or before it.
 
     Both sides need ``keys``, ``time`` and ``tie_break``. Left rows without a
-    match keep NULLs. ``inclusive=False`` asks for strictly earlier rows.
+    match keep NULLs. ``inclusive=False`` asks for strictly earlier rows. Pass
+    ``large`` if it is known whether a key is too large for a task.
     """
-    found = F.struct(*columns)
-    right_side = right.select(*keys, time, tie_break, F.lit(False).alias("_left"), found.alias("_found"))
-    left_side = left.withColumn("_left", F.lit(True))
-    both = left_side.unionByName(right_side, allowMissingColumns=True)
+    right_side = right.select(
+        *keys, time, tie_break, F.lit(False).alias("_left"), F.struct(*columns).alias("_found")
+    )
+    both = left.withColumn("_left", F.lit(True)).unionByName(right_side, allowMissingColumns=True)
+    if large is None:
+        large = has_large_group(both, keys, group_rows)
     # At equal times right rows go first if they count, last if they do not.
     side = F.col("_left") if inclusive else ~F.col("_left")
-    joined = running(
-        both, keys, [F.col(time), side, F.col(tie_break)], [latest("_match", F.col("_found"))], group_rows, block_rows
+    order = [F.col(time), side, F.col(tie_break)]
+    joined = running(both, keys, order, [latest("_match", F.col("_found"))], large, block_rows)
+    return joined.filter("_left").select(
+        *left.columns, *[F.col(f"_match.{c}").alias(f"right_{c}") for c in columns]
     )
-    kept = joined.filter("_left")
-    names = [c for c in left.columns]
-    return kept.select(*names, *[F.col(f"_match.{c}").alias(f"right_{c}") for c in columns])
 
 
 def trailing(
@@ -48,8 +51,9 @@ def trailing(
     keys: Sequence[str],
     time: str,
     span: str,
-    totals: dict[str, Column],
+    totals: Mapping[str, Column],
     include_now: bool = True,
+    large: bool | None = None,
     group_rows: int = GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -61,33 +65,24 @@ def trailing(
     Spark's own moving range frame would add up every frame anew. Totals must be
     integers or decimals so that the difference is exact.
     """
-    ids = [*keys, time]
-    instants = df.groupBy(*ids).agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()])
-    edge = F.expr(f"`{time}` - INTERVAL {span}")
-    # An opening edge sits before the rows of its own instant, a row after them.
-    marks = instants.select(
-        *keys,
-        F.col(time).alias("_for"),
-        *[F.col(f"_sum_{n}") for n in totals],
-        F.explode(
-            F.array(
-                F.struct(edge.alias("at"), F.lit(0).alias("kind")),
-                F.struct(F.col(time).alias("at"), F.lit(1).alias("kind")),
-            )
-        ).alias("_mark"),
-    )
-    is_row = F.col("_mark.kind") == 1
-    values: list[Running] = [
-        total(f"_run_{n}", F.when(is_row, F.col(f"_sum_{n}")).otherwise(F.lit(0))) for n in totals
-    ]
-    order = [F.col("_mark.at"), F.col("_mark.kind"), F.col("_for")]
-    run = running(marks, keys, order, values, group_rows, block_rows)
+    if large is None:
+        # Each row makes at most two marks.
+        large = has_large_group(df, keys, group_rows // 2)
+    instants = df.groupBy(*keys, time).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in totals.items()])
+    # An opening edge sits before the rows of its own instant, a closing edge after.
+    opening = F.struct(F.expr(f"`{time}` - INTERVAL {span}").alias("at"), F.lit(False).alias("closes"))
+    closing = F.struct(F.col(time).alias("at"), F.lit(True).alias("closes"))
+    marks = instants.withColumn("_mark", F.explode(F.array(opening, closing)))
+    closes = F.col("_mark.closes")
+    values = [total(f"_run_{n}", F.when(closes, F.col(n)).otherwise(F.lit(0))) for n in totals]
+    order = [F.col("_mark.at"), closes, F.col(time)]
+    run = running(marks, keys, order, values, large, block_rows)
 
     def framed(name: str) -> Column:
-        closing = F.max(F.when(is_row, F.col(f"_run_{name}")))
-        opening = F.max(F.when(~is_row, F.col(f"_run_{name}")))
-        now = F.lit(0) if include_now else F.max(F.when(is_row, F.coalesce(F.col(f"_sum_{name}"), F.lit(0))))
-        return (closing - opening - now).alias(name)
+        at_close = F.max(F.when(closes, F.col(f"_run_{name}")))
+        at_open = F.max(F.when(~closes, F.col(f"_run_{name}")))
+        now = F.lit(0) if include_now else F.max(name)
+        return (at_close - at_open - now).alias(name)
 
-    frames = run.groupBy(*keys, F.col("_for").alias(time)).agg(*[framed(n) for n in totals])
-    return match_rows(df, frames, ids)
+    frames = run.groupBy(*keys, time).agg(*[framed(n) for n in totals])
+    return match_rows(df, frames, [*keys, time])

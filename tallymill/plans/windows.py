@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from tallymill.operators.layout import match_rows
-from tallymill.operators.ordered import heads, ranks, windowed
+from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, has_large_group
+from tallymill.operators.ordered import ranks, windowed
 from tallymill.operators.timejoin import asof_join, trailing
 from tallymill.plans.registry import query
 from tallymill.sources.tables import table
@@ -15,8 +15,8 @@ HOT = {"group_rows": 5, "block_rows": 400}
 
 RANK_SQL = """
     SELECT event_id, event_type, value,
-           CAST(row_number() OVER r AS INTEGER) AS row_number, CAST(rank() OVER p AS INTEGER) AS rank,
-           CAST(dense_rank() OVER p AS INTEGER) AS dense_rank, CAST(ntile(4) OVER r AS INTEGER) AS ntile,
+           row_number() OVER r AS row_number, rank() OVER p AS rank, dense_rank() OVER p AS dense_rank,
+           CAST(ntile(4) OVER r AS INTEGER) AS ntile,
            round(percent_rank() OVER p, 9) AS percent_rank, round(cume_dist() OVER p, 9) AS cume_dist
     FROM events
     WINDOW p AS (PARTITION BY event_type ORDER BY value),
@@ -49,30 +49,16 @@ LAG_SQL = """
 
 def _lag_query(spark: SparkSession, folder: str, **limits: int) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", "ts", "value", "event_type")
-    order = [F.col("ts"), F.col("event_id")]
-    near = windowed(
+    return windowed(
         events,
         ["user_id"],
-        order,
-        {
-            "prev_value": lambda w: F.lag("value").over(w),
-            "after_next_type": lambda w: F.lead("event_type", 2).over(w),
-            # Marks the rows that have fewer than two rows before them.
-            "_second_before": lambda w: F.lag("event_id", 2).over(w),
-        },
-        before=2,
+        [F.col("ts"), F.col("event_id")],
+        {"prev_value": lambda w: F.lag("value").over(w), "after_next_type": lambda w: F.lead("event_type", 2).over(w)},
+        before=1,
         after=2,
+        nth={"first_value": ("value", 1), "third_value": ("value", 3)},
         **limits,
-    )
-    with_heads = match_rows(near, heads(events, ["user_id"], order, "value", 3), ["user_id"])
-    return with_heads.select(
-        "event_id",
-        "user_id",
-        "prev_value",
-        "after_next_type",
-        "first_value",
-        F.when(F.col("_second_before").isNotNull(), F.col("nth_value")).alias("third_value"),
-    )
+    ).select("event_id", "user_id", "prev_value", "after_next_type", "first_value", "third_value")
 
 
 @query("lag_lead", LAG_SQL)
@@ -157,18 +143,25 @@ INTERVAL_SQL = """
     """
 
 
-def _interval_query(spark: SparkSession, folder: str, **limits: int) -> DataFrame:
+def _interval_query(
+    spark: SparkSession, folder: str, group_rows: int = GROUP_ROWS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     # One row per event with its errors counted: pairs of events and errors
     # would grow with the square of a busy user's rows.
     events = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
     is_error = F.col("event_type") == "error"
+    # Both steps handle at most two rows per event of a user.
+    large = has_large_group(events, ["user_id"], group_rows // 2)
+    size = {"large": large, "block_rows": block_rows}
     counted = trailing(
-        events, ["user_id"], "ts", "1 HOUR", {"n_errors": is_error.cast("long")}, include_now=False, **limits
+        events, ["user_id"], "ts", "1 HOUR", {"n_errors": is_error.cast("long")}, include_now=False, **size
     ).filter("n_errors > 0")
-    errors = events.filter(is_error)
-    return asof_join(
-        counted, errors, ["user_id"], "ts", "event_id", ["ts"], inclusive=False, **limits
-    ).select("event_id", "user_id", "event_type", "n_errors", F.col("right_ts").alias("last_error_ts"))
+    joined = asof_join(
+        counted, events.filter(is_error), ["user_id"], "ts", "event_id", ["ts"], inclusive=False, **size
+    )
+    return joined.select(
+        "event_id", "user_id", "event_type", "n_errors", F.col("right_ts").alias("last_error_ts")
+    )
 
 
 @query("interval_join", INTERVAL_SQL)

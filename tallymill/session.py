@@ -56,6 +56,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     costs a re-read rather than the whole lineage, and each reader still gets
     column pruning and filter pushdown.
     """
-    path = new_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = new_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system drop an intermediate table when the driver ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
