@@ -26,21 +26,17 @@ def power_means(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
     A grouped Pandas UDF would move every row of a key to one worker. Instead
     each Arrow batch is reduced to one state row per key where it is read, and
-    Spark adds the states up. Values must be positive.
+    Spark adds the states up. Values must not be negative; a zero makes both
+    means zero, and NULL values are ignored.
     """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 
     def states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             known = batch[batch["_v"].notna()]
-            state = pd.DataFrame(
-                {
-                    **{k: known[k] for k in keys},
-                    "logs": np.log(known["_v"]),
-                    "inverses": 1.0 / known["_v"],
-                    "n": 1,
-                }
-            )
+            with np.errstate(divide="ignore"):
+                logs, inverses = np.log(known["_v"]), 1.0 / known["_v"]
+            state = pd.DataFrame({**{k: known[k] for k in keys}, "logs": logs, "inverses": inverses, "n": 1})
             yield state.groupby(list(keys), dropna=False, as_index=False).sum()
 
     partial = df.select(*keys, F.col(value).cast("double").alias("_v")).mapInPandas(

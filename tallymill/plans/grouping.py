@@ -36,15 +36,19 @@ def distinct_filter_agg(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "having",
-    "SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id HAVING count(*) > (SELECT count(*) / 145.0 FROM events)",
+    """
+    SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id
+    HAVING 10 * count(*) * (SELECT count(DISTINCT user_id) FROM events) > 11 * (SELECT count(*) FROM events)
+    """,
 )
 def having(spark: SparkSession, folder: str) -> DataFrame:
+    # Users with over 1.1 times the average number of events.
     return sql(
         spark,
         folder,
         """
-        SELECT user_id, count(*) AS n_events FROM {events}
-        GROUP BY user_id HAVING count(*) > (SELECT count(*) / 145.0 FROM {events})
+        SELECT user_id, count(*) AS n_events FROM {events} GROUP BY user_id
+        HAVING 10 * count(*) * (SELECT count(DISTINCT user_id) FROM {events}) > 11 * (SELECT count(*) FROM {events})
         """,
         "events",
     )

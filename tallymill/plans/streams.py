@@ -62,7 +62,7 @@ def stream_session(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     # The delay covers the whole month of events, so every repeat is dropped.
-    return _streamed(spark, folder, jobs.first_seen("31 days", ["user_id", "event_type"]), "stream-dedup")
+    return _streamed(spark, folder, jobs.first_seen("31 days", ["user_id", "event_type"], "event_id"), "stream-dedup")
 
 
 @query(
@@ -84,7 +84,6 @@ def stream_late(spark: SparkSession, folder: str) -> DataFrame:
     The first run closes the days behind its watermark. The second run restarts
     from the saved state, finds the errors, and drops those of closed days.
     """
-    jobs.prepare(spark)
     events = table(spark, folder, "events")
     place = new_path(spark, "stream-late")
     arrived = f"{place}/arrived"

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folders made for local sessions that name none, by application.
+_local_folders: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", app: str = "tallymill") -> SparkSession:
     """A single-machine session for tests and the bench. Clusters bring their own."""
@@ -37,11 +42,28 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    folder = "file://" + tempfile.mkdtemp(prefix="tallymill-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="tallymill-")
+    return _local_folders[context.applicationId]
+
+
+@contextmanager
+def settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block; the old values come back after it."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def new_path(spark: SparkSession, label: str) -> str:

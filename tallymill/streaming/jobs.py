@@ -16,13 +16,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tallymill.session import new_path
+from tallymill.session import new_path, settings
 
 Transform = Callable[[DataFrame], DataFrame]
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+# State on local disk with changes saved to the shared folder, so that its size is
+# not limited by the heap; sessions are joined in each task before the shuffle.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+# Tasks that share the rows of one key while its repeats are dropped.
+SPREAD = 32
 
 
 def instant(time: str) -> Column:
@@ -38,7 +47,11 @@ def zone_less(time: Column) -> Column:
 
 
 def arrivals(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
-    """A stream of parquet files with event time in ``at``. ``path`` may be a glob."""
+    """A stream of parquet files with event time in ``at``. ``path`` may be a glob.
+
+    All waiting files form one batch unless ``max_files`` limits it. With a limit
+    files should arrive in time order, or their rows may count as late.
+    """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -47,14 +60,15 @@ def arrivals(spark: SparkSession, path: str, schema: StructType, max_files: int
 
 def run_once(stream: DataFrame, folder: str) -> None:
     """Process what is there and stop. Calling it again continues in ``folder``."""
-    started = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with settings(stream.sparkSession, STREAM_SETTINGS):
+        started = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", f"{folder}/out")
+            .option("checkpointLocation", f"{folder}/state")
+            .trigger(availableNow=True)
+            .start()
+        )
     started.awaitTermination()
 
 
@@ -64,20 +78,12 @@ def output(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
 
 def streamed(spark: SparkSession, path: str, schema: StructType, job: Transform, label: str) -> DataFrame:
     """Run ``job`` over the files at ``path`` and return what it wrote."""
-    prepare(spark)
     folder = new_path(spark, label)
     stream = job(arrivals(spark, path, schema))
     run_once(stream, folder)
     return output(spark, folder, stream.schema)
 
 
-def prepare(spark: SparkSession) -> None:
-    """Keep state on disk rather than in the heap, and join sessions before the shuffle."""
-    if spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(STATE_STORE, ROCKSDB)
-    spark.conf.set(MERGE_SESSIONS, "true")
-
-
 def tumbling(delay: str, width: str) -> Transform:
     def job(stream: DataFrame) -> DataFrame:
         return (
@@ -124,8 +130,21 @@ def sessions(delay: str, gap: str) -> Transform:
     return job
 
 
-def first_seen(delay: str, keys: list[str]) -> Transform:
+def first_seen(delay: str, keys: list[str], row_id: str, spread: int = SPREAD) -> Transform:
+    """One row per key and stretch of ``delay``.
+
+    Repeats are dropped twice: first among the rows of a key that share a slice
+    of ``row_id``, so that the rows of a frequent key go to many tasks, then
+    among the few rows left.
+    """
+
     def job(stream: DataFrame) -> DataFrame:
-        return stream.withWatermark("at", delay).dropDuplicatesWithinWatermark(keys).select(*keys)
+        return (
+            stream.withWatermark("at", delay)
+            .select(*keys, "at", F.pmod(F.xxhash64(row_id), F.lit(spread)).alias("slice"))
+            .dropDuplicatesWithinWatermark([*keys, "slice"])
+            .dropDuplicatesWithinWatermark(keys)
+            .select(*keys)
+        )
 
     return job
