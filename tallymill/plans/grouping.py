@@ -64,14 +64,18 @@ def having(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
+    # Every grouping copies its input rows, so the rows are totalled first.
     return sql(
         spark,
         folder,
         """
+        WITH finest AS (
+          SELECT o_orderstatus, o_orderpriority, count(*) AS n, sum(o_totalprice) AS t
+          FROM {orders} GROUP BY o_orderstatus, o_orderpriority)
         SELECT o_orderstatus, o_orderpriority, CAST(grouping(o_orderstatus) AS INT) AS no_status,
                CAST(grouping(o_orderpriority) AS INT) AS no_priority,
-               count(*) AS n_orders, round(sum(o_totalprice), 2) AS total
-        FROM {orders} GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())
+               sum(n) AS n_orders, round(sum(t), 2) AS total
+        FROM finest GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())
         """,
         "orders",
     )
@@ -87,8 +91,10 @@ def grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
 def cube(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "orders")
+        .groupBy("o_orderstatus", "o_orderpriority")
+        .agg(F.count(F.lit(1)).alias("n"))
         .cube("o_orderstatus", "o_orderpriority")
-        .agg(F.count(F.lit(1)).alias("n_orders"))
+        .agg(F.sum("n").alias("n_orders"))
     )
 
 
@@ -103,9 +109,10 @@ def cube(spark: SparkSession, folder: str) -> DataFrame:
 def rollup(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "orders")
-        .withColumn("o_year", F.year("o_orderdate"))
+        .groupBy(F.year("o_orderdate").alias("o_year"), "o_orderstatus")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("t"))
         .rollup("o_year", "o_orderstatus")
-        .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+        .agg(F.sum("n").alias("n_orders"), F.round(F.sum("t"), 2).alias("total"))
     )
 
 
