@@ -11,14 +11,16 @@ added on top:
 * what a key's earlier or later blocks amount to is worked out from one summary
   row per block and handed to the rows of each block (``attach``, ``running``).
 
-Sorting costs a written table, so callers first ask ``has_large_group`` and use
-the native window while every key fits.
+Sorting costs a written table, so ``find_large`` counts the rows of each key
+first. Keys that fit a task keep the native window; only the rows of the others
+are laid out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -37,10 +39,51 @@ BLOCK_ROWS = 1_000_000
 _ROW_BITS = 33
 
 
-def has_large_group(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> bool:
-    """True if any key has more than ``group_rows`` rows. Reads only the keys."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return not sizes.filter(F.col("n") > group_rows).isEmpty()
+@dataclass(frozen=True)
+class Large:
+    """Which keys are too large for a task: none, some (``table``) or all of them."""
+
+    keys: Sequence[str]
+    table: DataFrame | None = None
+    every: bool = False
+
+    def parts(self, df: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+        """The rows of keys that fit and the rows of keys that do not."""
+        if self.every:
+            return None, df
+        if self.table is None:
+            return df, None
+        listed, same = _matched(self.table, self.keys)
+        return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+
+    def apply(
+        self,
+        df: DataFrame,
+        native: Callable[[DataFrame], DataFrame],
+        blocked: Callable[[DataFrame], DataFrame],
+    ) -> DataFrame:
+        fitting, oversized = self.parts(df)
+        if oversized is None:
+            return native(fitting)
+        if fitting is None:
+            return blocked(oversized)
+        return native(fitting).unionByName(blocked(oversized))
+
+
+def find_large(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> Large:
+    """Keys of more than ``group_rows`` rows. Reads only the key columns.
+
+    There are at most (rows / group_rows) of them. They are written, so that
+    Spark knows the size of the list when it decides how to join it.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    over = F.col("_rows") > group_rows
+    some, every = sizes.agg(F.count_if(over), F.count(F.lit(1))).first()
+    if some == 0:
+        return Large(keys)
+    if some == every:
+        return Large(keys, every=True)
+    return Large(keys, written(sizes.filter(over).select(*keys), "large-keys"))
 
 
 def lay_out(
@@ -60,23 +103,23 @@ def lay_out(
     placed = written(
         df.repartitionByRange(ranges, *by)
         .sortWithinPartitions(*by)
-        .withColumn("_at", F.monotonically_increasing_id()),
+        .withColumn("_laid_at", F.monotonically_increasing_id()),
         "layout",
-    ).withColumn("_part", F.shiftright("_at", _ROW_BITS))
+    ).withColumn("_laid_part", F.shiftright("_laid_at", _ROW_BITS))
     # One row per range partition, so both the single-task window and the
     # broadcast are bounded by spark.sql.shuffle.partitions.
-    earlier = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(F.lit(0)).orderBy("_laid_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        placed.groupBy("_part")
+        placed.groupBy("_laid_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+        .select("_laid_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_laid_start"))
     )
-    row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    row = F.col("_laid_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn(POSITION, F.col("_start") + row)
+        placed.join(F.broadcast(starts), "_laid_part")
+        .withColumn(POSITION, F.col("_laid_start") + row)
         .withColumn(BLOCK, F.expr(f"{POSITION} div {block_rows}"))
-        .drop("_part", "_start", "_at")
+        .drop("_laid_part", "_laid_start", "_laid_at")
     )
 
 
@@ -87,8 +130,6 @@ def with_halo(laid_out: DataFrame, before: int, after: int, block_rows: int = BL
     ahead of it and the ``after`` rows behind it. Rows at home satisfy
     ``_seat = _block``. Both counts must stay below ``block_rows``.
     """
-    if max(before, after) >= block_rows:
-        raise ValueError("a frame must be shorter than a block")
     inside = F.col(POSITION) % block_rows
     seats = F.array_compact(
         F.array(
@@ -157,17 +198,31 @@ def running(
     keys: Sequence[str],
     order: Sequence[Column],
     values: Sequence[Running],
-    large: bool,
+    large: Large,
     block_rows: int = BLOCK_ROWS,
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Add running values per key, in ``order``.
 
-    ``large`` says that some key is too large for a task. The running value of
-    the blocks before is then put in front of each block as one more row.
+    ``finish`` is applied to the native and the blocked part before they are
+    united. Fields of structs must be taken out there: Spark 4.1 can mix them up
+    when it prunes a struct on both sides of a union.
     """
-    if not large:
+
+    def native(rows: DataFrame) -> DataFrame:
         window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns({v.name: v.over(window) for v in values})
+        return finish(rows.withColumns({v.name: v.over(window) for v in values}))
+
+    def blocked(rows: DataFrame) -> DataFrame:
+        return finish(_running_by_block(rows, keys, order, values, block_rows))
+
+    return large.apply(df, native, blocked)
+
+
+def _running_by_block(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: Sequence[Running], block_rows: int
+) -> DataFrame:
+    """The running value of the blocks before goes in front of each block as one more row."""
     # The values become columns before the layout is written, so that the rows
     # that stand for earlier blocks can be added to them.
     valued = df.withColumns({v.name: v.value for v in values})
@@ -190,8 +245,11 @@ def running(
 
 def match_rows(df: DataFrame, per_group: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Attach one row per group to the rows of the group; NULL ids match NULL."""
-    renamed = per_group.withColumnsRenamed({c: f"_r_{c}" for c in ids})
-    condition = F.lit(True)
-    for c in ids:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return df.join(renamed, condition).drop(*[f"_r_{c}" for c in ids])
+    renamed, same = _matched(per_group, ids)
+    return df.join(renamed, same).drop(*[f"_r_{c}" for c in ids])
+
+
+def _matched(right: DataFrame, ids: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``right`` with its ids renamed, and the condition that they equal the left ones."""
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in ids])
+    return right.withColumnsRenamed({c: f"_r_{c}" for c in ids}), same

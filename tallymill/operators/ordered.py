@@ -18,7 +18,7 @@ from tallymill.operators.layout import (
     SEAT,
     attach,
     block_window,
-    has_large_group,
+    find_large,
     lay_out,
     match_rows,
     running,
@@ -42,10 +42,11 @@ def ranks(
     treat equal values of ``by`` as peers.
     """
     full = [F.col(by)] + [F.col(c) for c in tie_break]
-    if not has_large_group(df, keys, group_rows):
+
+    def native(part: DataFrame) -> DataFrame:
         peers = W.partitionBy(*keys).orderBy(by)
         rows = W.partitionBy(*keys).orderBy(*full)
-        return df.withColumns(
+        return part.withColumns(
             {
                 "row_number": F.row_number().over(rows).cast("long"),
                 "rank": F.rank().over(peers).cast("long"),
@@ -55,7 +56,11 @@ def ranks(
                 "cume_dist": F.cume_dist().over(peers),
             }
         )
-    return _ranks_by_block(lay_out(df, keys, full, block_rows), df.columns, keys, by, tiles)
+
+    def blocked(part: DataFrame) -> DataFrame:
+        return _ranks_by_block(lay_out(part, keys, full, block_rows), df.columns, keys, by, tiles)
+
+    return find_large(df, keys, group_rows).apply(df, native, blocked)
 
 
 def _ranks_by_block(
@@ -167,31 +172,38 @@ def windowed(
     a number n: the key's nth value, NULL on the rows before it.
     """
     nth = nth or {}
-    if not has_large_group(df, keys, group_rows):
+    if max(before, after) >= block_rows:
+        raise ValueError("a frame must be shorter than a block")
+
+    def native(part: DataFrame) -> DataFrame:
         window = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({name: make(window) for name, make in near.items()}).withColumns(
+        return part.withColumns({name: make(window) for name, make in near.items()}).withColumns(
             {name: F.nth_value(c, n).over(window) for name, (c, n) in nth.items()}
         )
-    laid_out = lay_out(df, keys, order, block_rows)
-    seated = with_halo(laid_out, before, after, block_rows)
-    if nth:
-        # Copies that have no row of their key at home in the seat get nothing
-        # attached; they are dropped below.
-        seats = laid_out.groupBy(*keys, F.col(BLOCK).alias(SEAT)).agg(F.lit(True).alias("_one"))
-        heads = match_rows(seats, _heads(laid_out, keys, nth), keys).drop("_one")
-        seated = attach(seated, heads, keys, SEAT)
-    window = block_window(keys, SEAT)
-    return (
-        seated.withColumns({name: make(window) for name, make in near.items()})
-        .filter(F.col(SEAT) == F.col(BLOCK))
-        .withColumns(
-            {
-                name: F.when(F.col(POSITION) >= F.col("_key_start") + n - 1, F.col(f"_nth_{name}"))
-                for name, (_, n) in nth.items()
-            }
+
+    def blocked(part: DataFrame) -> DataFrame:
+        laid_out = lay_out(part, keys, order, block_rows)
+        seated = with_halo(laid_out, before, after, block_rows)
+        if nth:
+            # Copies that have no row of their key at home in the seat get nothing
+            # attached; they are dropped below.
+            seats = laid_out.groupBy(*keys, F.col(BLOCK).alias(SEAT)).agg(F.lit(True).alias("_one"))
+            heads = match_rows(seats, _heads(laid_out, keys, nth), keys).drop("_one")
+            seated = attach(seated, heads, keys, SEAT)
+        window = block_window(keys, SEAT)
+        return (
+            seated.withColumns({name: make(window) for name, make in near.items()})
+            .filter(F.col(SEAT) == F.col(BLOCK))
+            .withColumns(
+                {
+                    name: F.when(F.col(POSITION) >= F.col("_key_start") + n - 1, F.col(f"_nth_{name}"))
+                    for name, (_, n) in nth.items()
+                }
+            )
+            .select(*df.columns, *near, *nth)
         )
-        .select(*df.columns, *near, *nth)
-    )
+
+    return find_large(df, keys, group_rows).apply(df, native, blocked)
 
 
 def _heads(laid_out: DataFrame, keys: Sequence[str], nth: Mapping[str, tuple[str, int]]) -> DataFrame:
@@ -231,7 +243,7 @@ def percentiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     # Rows per key bound the distinct values per key and are cheaper to count.
-    large = has_large_group(df, keys, group_rows)
+    large = find_large(df, keys, group_rows)
     placed = running(counts, keys, [F.col("_v")], [total("_upto", F.col("_n"))], large, block_rows)
     sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     # Point p sits at place p * (size - 1), between two whole ranks. A value covers

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, has_large_group, latest, match_rows, running, total
+from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, Large, find_large, latest, match_rows, running, total
 
 
 def asof_join(
@@ -21,7 +21,7 @@ def asof_join(
     tie_break: str,
     columns: Sequence[str],
     inclusive: bool = True,
-    large: bool | None = None,
+    large: Large | None = None,
     group_rows: int = GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -29,21 +29,23 @@ def asof_join(
 
     Both sides need ``keys``, ``time`` and ``tie_break``. Left rows without a
     match keep NULLs. ``inclusive=False`` asks for strictly earlier rows. Pass
-    ``large`` if it is known whether a key is too large for a task.
+    ``large`` if the keys too large for a task are known.
     """
     right_side = right.select(
         *keys, time, tie_break, F.lit(False).alias("_left"), F.struct(*columns).alias("_found")
     )
     both = left.withColumn("_left", F.lit(True)).unionByName(right_side, allowMissingColumns=True)
     if large is None:
-        large = has_large_group(both, keys, group_rows)
+        large = find_large(both, keys, group_rows)
     # At equal times right rows go first if they count, last if they do not.
     side = F.col("_left") if inclusive else ~F.col("_left")
     order = [F.col(time), side, F.col(tie_break)]
-    joined = running(both, keys, order, [latest("_match", F.col("_found"))], large, block_rows)
-    return joined.filter("_left").select(
-        *left.columns, *[F.col(f"_match.{c}").alias(f"right_{c}") for c in columns]
-    )
+
+    def left_rows(rows: DataFrame) -> DataFrame:
+        matched = [F.col(f"_match.{c}").alias(f"right_{c}") for c in columns]
+        return rows.filter("_left").select(*left.columns, *matched)
+
+    return running(both, keys, order, [latest("_match", F.col("_found"))], large, block_rows, left_rows)
 
 
 def trailing(
@@ -53,7 +55,7 @@ def trailing(
     span: str,
     totals: Mapping[str, Column],
     include_now: bool = True,
-    large: bool | None = None,
+    large: Large | None = None,
     group_rows: int = GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -67,16 +69,15 @@ def trailing(
     """
     if large is None:
         # Each row makes at most two marks.
-        large = has_large_group(df, keys, group_rows // 2)
+        large = find_large(df, keys, group_rows // 2)
     instants = df.groupBy(*keys, time).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in totals.items()])
     # An opening edge sits before the rows of its own instant, a closing edge after.
-    opening = F.struct(F.expr(f"`{time}` - INTERVAL {span}").alias("at"), F.lit(False).alias("closes"))
-    closing = F.struct(F.col(time).alias("at"), F.lit(True).alias("closes"))
-    marks = instants.withColumn("_mark", F.explode(F.array(opening, closing)))
-    closes = F.col("_mark.closes")
+    closes = F.col("_closes")
+    marks = instants.withColumn("_closes", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn(
+        "_edge", F.when(closes, F.col(time)).otherwise(F.expr(f"`{time}` - INTERVAL {span}"))
+    )
     values = [total(f"_run_{n}", F.when(closes, F.col(n)).otherwise(F.lit(0))) for n in totals]
-    order = [F.col("_mark.at"), closes, F.col(time)]
-    run = running(marks, keys, order, values, large, block_rows)
+    run = running(marks, keys, [F.col("_edge"), closes, F.col(time)], values, large, block_rows)
 
     def framed(name: str) -> Column:
         at_close = F.max(F.when(closes, F.col(f"_run_{name}")))

@@ -10,14 +10,16 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallymill.operators.layout import POSITION, has_large_group, lay_out, latest, running, total
+from tallymill.operators.layout import POSITION, Large, find_large, lay_out, latest, running, total
 from tallymill.operators.ordered import percentiles, ranks, windowed
 from tallymill.operators.timejoin import asof_join, trailing
 from tests.compare import differences
 
 NATIVE = {"group_rows": 10**9}
-BLOCKED = [{"group_rows": 1, "block_rows": n} for n in (3, 17, 250, 5000)]
-FORMS = [NATIVE, *BLOCKED]
+BLOCKED = [{"group_rows": 1, "block_rows": n} for n in (3, 17, 250)]
+# Some keys native, some in blocks.
+MIXED = [{"group_rows": n, "block_rows": 50} for n in (150, 300)]
+FORMS = [NATIVE, *BLOCKED, *MIXED]
 
 
 def expected(skewed, text):
@@ -85,8 +87,8 @@ def test_frame_longer_than_a_block_is_refused(skewed_df):
         windowed(skewed_df, ["user_id"], [F.col("ts")], {}, before=5, group_rows=1, block_rows=5)
 
 
-@pytest.mark.parametrize("large,block_rows", [(False, 1), (True, 3), (True, 40), (True, 5000)])
-def test_running_values(skewed, skewed_df, large, block_rows):
+@pytest.mark.parametrize("every,block_rows", [(False, 1), (True, 3), (True, 40), (True, 5000)])
+def test_running_values(skewed, skewed_df, every, block_rows):
     source = skewed_df.select("event_id", "user_id", "ts", "value", "event_type")
     got = running(
         source,
@@ -96,7 +98,7 @@ def test_running_values(skewed, skewed_df, large, block_rows):
             total("cents", (F.col("value") * 100).cast("long")),
             latest("click", F.when(F.col("event_type") == "click", F.col("event_id"))),
         ],
-        large,
+        Large(["user_id"], every=every),
         block_rows,
     ).select("event_id", "cents", "click")
     want = expected(
@@ -113,7 +115,8 @@ def test_running_values(skewed, skewed_df, large, block_rows):
     # value * 100 truncates in Spark and rounds in DuckDB; allow one per row.
     ours = {r["event_id"]: r["cents"] for r in got.toArrow().to_pylist()}
     native = running(
-        source, ["user_id"], [F.col("ts"), F.col("event_id")], [total("cents", (F.col("value") * 100).cast("long"))], False
+        source, ["user_id"], [F.col("ts"), F.col("event_id")], [total("cents", (F.col("value") * 100).cast("long"))],
+        Large(["user_id"]),
     )
     assert ours == {r.event_id: r.cents for r in native.collect()}
 
@@ -186,5 +189,38 @@ def test_blocks_do_not_depend_on_key_sizes(skewed_df):
 
 
 def test_large_groups_are_found(skewed_df):
-    assert has_large_group(skewed_df, ["user_id"], 300)
-    assert not has_large_group(skewed_df, ["user_id"], 900)
+    assert find_large(skewed_df, ["user_id"], 900) == Large(["user_id"])
+    assert find_large(skewed_df, ["user_id"], 1) == Large(["user_id"], every=True)
+    some = find_large(skewed_df, ["user_id"], 300)
+    assert [r.user_id for r in some.table.collect()] == [1]
+    fitting, oversized = some.parts(skewed_df)
+    assert fitting.count() + oversized.count() == 900
+    assert {r.user_id for r in oversized.select("user_id").distinct().collect()} == {1}
+
+
+def test_a_null_key_can_be_the_large_one(spark):
+    df = spark.range(100).selectExpr("IF(id < 90, NULL, id) AS k", "id")
+    fitting, oversized = find_large(df, ["k"], 50).parts(df)
+    assert (fitting.count(), oversized.count()) == (10, 90)
+
+
+@pytest.mark.parametrize("form", [BLOCKED[1], MIXED[1]])
+def test_part_of_the_result_can_be_selected(skewed_df, form):
+    """Dropping columns lets Spark prune structs inside the operators; values must not move."""
+    events = skewed_df.select("event_id", "user_id", "ts", "value")
+    clicks = skewed_df.filter("event_type = 'click'")
+    ranked = ranks(events, ["user_id"], "value", ["event_id"], **form)
+    matched = asof_join(events, clicks, ["user_id"], "ts", "event_id", ["event_id", "value", "ts"], **form)
+    framed = trailing(
+        events, ["user_id"], "ts", "1 HOUR", {"a": F.lit(1).cast("long"), "b": F.col("event_id")}, **form
+    )
+    placed = windowed(
+        events, ["user_id"], [F.col("ts"), F.col("event_id")], {"back": lambda w: F.lag("event_id").over(w)},
+        before=1, nth={"first": ("event_id", 1), "second": ("ts", 2)}, **form,
+    )
+    for whole in (ranked, matched, framed, placed):
+        rows = {r.event_id: r for r in whole.collect()}
+        assert len(rows) == 900
+        for name in set(whole.columns) - {"event_id"}:
+            part = {r.event_id: r[name] for r in whole.select("event_id", name).collect()}
+            assert part == {i: r[name] for i, r in rows.items()}
