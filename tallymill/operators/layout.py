@@ -47,6 +47,10 @@ class Large:
     table: DataFrame | None = None
     every: bool = False
 
+    @property
+    def some(self) -> bool:
+        return self.every or self.table is not None
+
     def parts(self, df: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
         """The rows of keys that fit and the rows of keys that do not."""
         if self.every:

@@ -8,6 +8,7 @@ from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, find_large
 from tallymill.operators.ordered import ranks, windowed
 from tallymill.operators.timejoin import asof_join, trailing
 from tallymill.plans.registry import query
+from tallymill.session import written
 from tallymill.sources.tables import table
 
 # Limits for the forced forms. Each event type counts as oversized; users, who
@@ -159,6 +160,9 @@ def _interval_query(
     counted = trailing(
         events, ["user_id"], "ts", "1 HOUR", {"n_errors": is_error.cast("long")}, include_now=False, **size
     ).filter("n_errors > 0")
+    if large.some:
+        # The parts of the next step would each work this out again.
+        counted = written(counted, "counted")
     joined = asof_join(
         counted, events.filter(is_error), ["user_id"], "ts", "event_id", ["ts"], inclusive=False, **size
     )

@@ -7,7 +7,8 @@ import re
 import pytest
 
 from tallymill.plans import QUERIES
-from tallymill.session import new_path
+from tallymill.operators.layout import match_rows
+from tallymill.session import new_path, settings
 from tallymill.sources.tables import table, write_partitioned
 from pyspark.sql import functions as F
 from tests.conftest import SMALL
@@ -70,3 +71,19 @@ def test_partitioned_output_is_pruned(spark):
     write_partitioned(table(spark, SMALL, "orders").withColumn("o_year", F.year("o_orderdate")), path, "o_year")
     text = plan(spark.read.parquet(path).filter("o_year = 1999"))
     assert re.search(r"PartitionFilters: \[[^\]]*o_year[^\]]*1999", text)
+
+
+def test_a_hot_join_key_is_split(spark, no_broadcast):
+    wanted = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    with settings(spark, wanted):
+        rows = spark.range(0, 200_000, 1, 8).selectExpr("IF(id % 2 = 0, 7, id) AS k", "id", "hash(id) AS v")
+        totals = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        joined = match_rows(rows, totals, ["k"])
+        assert joined.agg(F.count_if(F.col("n") == 100_001)).first()[0] == 100_001
+        joined.collect()
+        assert "skew=true" in plan(joined)
