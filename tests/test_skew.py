@@ -16,7 +16,7 @@ from tallymill.operators.timejoin import asof_join, trailing
 from tests.compare import differences
 
 NATIVE = {"group_rows": 10**9}
-BLOCKED = [{"group_rows": 1, "block_rows": n} for n in (3, 17, 250)]
+BLOCKED = [{"group_rows": 1, "block_rows": n} for n in (3, 250)]
 # Some keys native, some in blocks.
 MIXED = [{"group_rows": n, "block_rows": 50} for n in (150, 300)]
 FORMS = [NATIVE, *BLOCKED, *MIXED]
