@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymill.llm import bpe_codec, simhash, token_counts
+from tallymill.llm import bpe_codec, line_quality, simhash, token_counts
 from tallymill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op1_line_quality")
+def op1_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return line_quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.7)
+
+
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, distance=2)
