@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymill.llm import bpe_codec, line_quality, simhash, token_counts
+from tallymill.llm import bpe_codec, html_text, line_quality, mixing, simhash, token_counts
 from tallymill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,11 +28,21 @@ def op1_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.7)
 
 
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"))
+
+
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, distance=2)
 
 
+@query("op4_html_text")
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extracted(table(spark, folder, "pages"))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), limit=1024)
