@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.llm import bpe_codec, html_text, line_quality, mixing, simhash, token_counts
+from tallymill.llm import bpe_codec, html_text, line_quality, mixing, simhash, token_counts, topk_search
 from tallymill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,28 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), limit=1024)
 
 
+@query(
+    "op6_topk_search",
+    """
+    WITH parts AS (
+      SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
+      FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+    usable AS (
+      SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS v FROM parts
+      WHERE vec_id NOT IN (SELECT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x))),
+    scores AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.v * c.v) AS BIGINT) AS score
+      FROM usable q JOIN usable c ON q.i = c.i AND q.vec_id <> c.vec_id
+      WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+    WHERE rank <= 5
+    """,
+)
+def op6_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 @query("op10_bpe_codec")
 def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.digests(table(spark, folder, "documents"))
