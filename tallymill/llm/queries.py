@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.llm import bpe_codec, html_text, line_quality, mixing, simhash, token_counts, topk_search
+from tallymill.llm import bpe_codec, html_text, line_quality, mixing, prefix_hashes, simhash, token_counts, topk_search, warc
 from tallymill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,27 @@ def op6_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+@query(
+    "op8_warc",
+    """
+    WITH payloads AS (
+      SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+           CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to
+    FROM (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM payloads)
+    """,
+)
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records, _ = warc.round_trip(table(spark, folder, "pages"))
+    return records
+
+
+@query("op9_prefix_hashes")
+def op9_prefix_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_hashes.compared(table(spark, folder, "documents"))
+
+
 @query("op10_bpe_codec")
 def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.digests(table(spark, folder, "documents"))
