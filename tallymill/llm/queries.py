@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.llm import bpe_codec, html_text, line_quality, mixing, prefix_hashes, simhash, token_counts, topk_search, warc
+from tallymill.llm import bpe_codec, html_text, line_quality, mixing, prefix_hashes, simhash, suffix_dedup, token_counts, topk_search, warc
 from tallymill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,11 @@ def op6_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, folder, "documents"), length=200)
+
+
 @query(
     "op8_warc",
     """
