@@ -183,7 +183,11 @@ class SalvageReader:
         end = data.find(b"\r\n\r\n", version.end() - 2)
         if end < 0:
             raise _Broken("the header has no end")
-        headers = _fields(data[version.end() : end].split(b"\r\n"))
+        lines = data[version.end() : end].split(b"\r\n")
+        headers = _fields(lines)
+        names = [line.partition(b":")[0].strip().lower() for line in lines]
+        if any(names.count(name) > 1 for name in (b"warc-type", b"warc-record-id", b"content-length")):
+            raise _Broken("the header runs into that of another record")
         size = headers.get("content-length", "")
         if not size.isdigit() or int(size) > self._longest:
             raise _Broken("no length")
