@@ -2,48 +2,58 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from urllib.parse import parse_qsl, urlsplit
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf
 
+from tallymill.operators.sessions import micros
 
-@udtf(returnType="word_no int, word string")
-class Words:
-    """Table function: the words of a text with their places, from 1."""
 
-    def eval(self, text: str):
-        if text is None:
-            return
-        for place, word in enumerate(text.split(), start=1):
-            yield place, word
+@arrow_udtf(returnType="page_no int, host string, depth int, n_arguments int")
+class UrlParts:
+    """Table function over a whole table: the parts of each address, by the standard URL parser."""
 
+    def eval(self, table: pa.RecordBatch | pa.Table) -> Iterator[pa.Table]:
+        numbers, addresses = (table.column(i).to_pylist() for i in (0, 1))
+        rows = []
+        for number, address in zip(numbers, addresses):
+            if address is not None:
+                parts = urlsplit(address)
+                depth = sum(1 for step in parts.path.split("/") if step)
+                rows.append((number, parts.hostname, depth, len(parse_qsl(parts.query, keep_blank_values=True))))
+        types = [pa.int32(), pa.string(), pa.int32(), pa.int32()]
+        columns = zip(*rows) if rows else [()] * 4
+        arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+        yield pa.Table.from_arrays(arrays, names=["page_no", "host", "depth", "n_arguments"])
 
-def power_means(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Geometric and harmonic mean per key, as a Python aggregate with partials.
 
-    A grouped Pandas UDF would move every row of a key to one worker. Instead
-    each Arrow batch is reduced to one state row per key where it is read, and
-    Spark adds the states up. Values must not be negative; a zero makes both
-    means zero, and NULL values are ignored.
+def circular_means(df: DataFrame, keys: Sequence[str], time: str, period_seconds: int) -> DataFrame:
+    """Mean direction of times on a circle, such as the time of day, per key, with partial states in Python.
+
+    A grouped Pandas UDF would move every row of a key to one worker. Instead each
+    Arrow batch is reduced to one state row per key where it is read: the sum of
+    the unit vectors, as a complex number, and their count. Spark adds the states
+    up. NULL times are ignored.
     """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 
     def states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            known = batch[batch["_v"].notna()]
-            with np.errstate(divide="ignore"):
-                logs, inverses = np.log(known["_v"]), 1.0 / known["_v"]
-            state = pd.DataFrame({**{k: known[k] for k in keys}, "logs": logs, "inverses": inverses, "n": 1})
+            known = batch[batch["_t"].notna()]
+            turn = np.exp(2j * np.pi * (known["_t"].to_numpy() % period_seconds) / period_seconds)
+            state = pd.DataFrame({**{k: known[k] for k in keys}, "x": turn.real, "y": turn.imag, "n": 1})
             yield state.groupby(list(keys), dropna=False, as_index=False).sum()
 
-    partial = df.select(*keys, F.col(value).cast("double").alias("_v")).mapInPandas(
-        states, f"{fields}, logs double, inverses double, n long"
-    )
-    return partial.groupBy(*keys).agg(
-        F.exp(F.sum("logs") / F.sum("n")).alias("geometric_mean"),
-        (F.sum("n") / F.sum("inverses")).alias("harmonic_mean"),
-        F.sum("n").alias("n_values"),
+    partial = df.select(*keys, (micros(time) / 1e6).alias("_t")).mapInPandas(states, f"{fields}, x double, y double, n long")
+    return partial.groupBy(*keys).agg(F.sum("x").alias("x"), F.sum("y").alias("y"), F.sum("n").alias("n_values")).select(
+        *keys,
+        (F.pmod(F.atan2("y", "x") / (2 * math.pi), F.lit(1.0)) * period_seconds).alias("mean_seconds"),
+        (F.hypot("x", "y") / F.col("n_values")).alias("concentration"),
+        "n_values",
     )

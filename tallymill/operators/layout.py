@@ -19,10 +19,11 @@ are laid out.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window as W, functions as F
+from pyspark.sql.types import DecimalType, IntegralType, NullType
 
 from tallymill.session import written
 
@@ -46,6 +47,7 @@ class Large:
     keys: Sequence[str]
     table: DataFrame | None = None
     every: bool = False
+    rows: int | None = field(default=None, compare=False)
 
     @property
     def some(self) -> bool:
@@ -82,12 +84,18 @@ def find_large(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS)
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     over = F.col("_rows") > group_rows
-    some, every = sizes.agg(F.count_if(over), F.count(F.lit(1))).first()
+    # The oversized keys are written as they are counted; two numbers tell the rest.
+    seen = Observation()
+    listed = written(
+        sizes.observe(seen, F.count_if(over).alias("some"), F.count(F.lit(1)).alias("every")).filter(over), "large-keys"
+    )
+    some, every = seen.get["some"], seen.get["every"]
     if some == 0:
         return Large(keys)
+    rows = listed.agg(F.sum("_rows")).first()[0]
     if some == every:
-        return Large(keys, every=True)
-    return Large(keys, written(sizes.filter(over).select(*keys), "large-keys"))
+        return Large(keys, every=True, rows=rows)
+    return Large(keys, listed.select(*keys), rows=rows)
 
 
 def lay_out(
@@ -95,14 +103,16 @@ def lay_out(
     keys: Sequence[str],
     order: Sequence[Column],
     block_rows: int = BLOCK_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add the row's place in the sort by ``keys + order`` and its block.
 
     ``order`` should identify a row within its key; ties are placed arbitrarily
-    but only once, because the placement is written before it is used.
+    but only once, because the placement is written before it is used. ``rows``,
+    if they have been counted, gives every range about as many rows as a block.
     """
     spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // BLOCK_ROWS))
     by = [F.col(k) for k in keys] + list(order)
     placed = written(
         df.repartitionByRange(ranges, *by)
@@ -111,7 +121,7 @@ def lay_out(
         "layout",
     ).withColumn("_laid_part", F.shiftright("_laid_at", _ROW_BITS))
     # One row per range partition, so both the single-task window and the
-    # broadcast are bounded by spark.sql.shuffle.partitions.
+    # broadcast are bounded by the number of partitions.
     earlier = W.partitionBy(F.lit(0)).orderBy("_laid_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         placed.groupBy("_laid_part")
@@ -188,7 +198,7 @@ class Running:
 
 
 def total(name: str, value: Column) -> Running:
-    """Sum of ``value`` up to and including the row. Use integers or decimals."""
+    """Sum of ``value`` up to and including the row. ``running`` raises unless it is an integer or decimal."""
     return Running(name, value, sums=True)
 
 
@@ -213,24 +223,31 @@ def running(
     when it prunes a struct on both sides of a union.
     """
 
+    summed = df.select(*[v.value.alias(v.name) for v in values if v.sums]).schema
+    rough = [f.name for f in summed if not isinstance(f.dataType, (IntegralType, DecimalType, NullType))]
+    if rough:
+        # Floating-point sums depend on the order of adding, so the two forms would differ.
+        raise TypeError(f"running totals must be integers or decimals: {', '.join(rough)}")
+
     def native(rows: DataFrame) -> DataFrame:
         window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         return finish(rows.withColumns({v.name: v.over(window) for v in values}))
 
     def blocked(rows: DataFrame) -> DataFrame:
-        return finish(_running_by_block(rows, keys, order, values, block_rows))
+        return finish(_running_by_block(rows, keys, order, values, block_rows, large.rows))
 
     return large.apply(df, native, blocked)
 
 
 def _running_by_block(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: Sequence[Running], block_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: Sequence[Running], block_rows: int,
+    counted: int | None,
 ) -> DataFrame:
     """The running value of the blocks before goes in front of each block as one more row."""
     # The values become columns before the layout is written, so that the rows
     # that stand for earlier blocks can be added to them.
     valued = df.withColumns({v.name: v.value for v in values})
-    laid_out = lay_out(valued, keys, order, block_rows)
+    laid_out = lay_out(valued, keys, order, block_rows, counted)
     values = [Running(v.name, F.col(v.name), v.sums) for v in values]
     # One row per key and block: a key of n rows has about n / block_rows of them.
     earlier = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)

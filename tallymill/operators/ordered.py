@@ -25,6 +25,7 @@ from tallymill.operators.layout import (
     total,
     with_halo,
 )
+from tallymill.session import written
 
 
 def ranks(
@@ -58,9 +59,10 @@ def ranks(
         )
 
     def blocked(part: DataFrame) -> DataFrame:
-        return _ranks_by_block(lay_out(part, keys, full, block_rows), df.columns, keys, by, tiles)
+        return _ranks_by_block(lay_out(part, keys, full, block_rows, large.rows), df.columns, keys, by, tiles)
 
-    return find_large(df, keys, group_rows).apply(df, native, blocked)
+    large = find_large(df, keys, group_rows)
+    return large.apply(df, native, blocked)
 
 
 def _ranks_by_block(
@@ -182,7 +184,7 @@ def windowed(
         )
 
     def blocked(part: DataFrame) -> DataFrame:
-        laid_out = lay_out(part, keys, order, block_rows)
+        laid_out = lay_out(part, keys, order, block_rows, large.rows)
         seated = with_halo(laid_out, before, after, block_rows)
         if nth:
             # Copies that have no row of their key at home in the seat get nothing
@@ -203,7 +205,8 @@ def windowed(
             .select(*df.columns, *near, *nth)
         )
 
-    return find_large(df, keys, group_rows).apply(df, native, blocked)
+    large = find_large(df, keys, group_rows)
+    return large.apply(df, native, blocked)
 
 
 def _heads(laid_out: DataFrame, keys: Sequence[str], nth: Mapping[str, tuple[str, int]]) -> DataFrame:
@@ -237,15 +240,16 @@ def percentiles(
     Equal values are counted before the shuffle, and only running counts over
     the distinct values are needed. No task or driver holds all values of a key.
     """
-    counts = (
+    # The table is read once; limits, sizes and running counts come from the counted values.
+    counts = written(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "counted-values",
     )
-    # Rows per key bound the distinct values per key and are cheaper to count.
-    large = find_large(df, keys, group_rows)
+    large = find_large(counts, keys, group_rows)
     placed = running(counts, keys, [F.col("_v")], [total("_upto", F.col("_n"))], large, block_rows)
-    sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     # Point p sits at place p * (size - 1), between two whole ranks. A value covers
     # the ranks from _upto - _n to _upto - 1; most values cover no wanted rank.
     wanted = F.array(

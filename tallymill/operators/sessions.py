@@ -25,7 +25,7 @@ def sessions(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: int) ->
         F.min(time).alias("_from"), F.max(time).alias("_to"), F.count(F.lit(1)).alias("_n")
     )
     by_time = W.partitionBy(*keys).orderBy("_slot")
-    open_until = F.expr(f"lag(_to) OVER (PARTITION BY {', '.join(keys)} ORDER BY _slot) + INTERVAL {gap_seconds} SECONDS")
+    open_until = F.lag("_to").over(by_time) + F.expr(f"INTERVAL {gap_seconds} SECONDS")
     starts = F.when(F.col("_from") < open_until, F.lit(0)).otherwise(F.lit(1))
     return (
         slots.withColumn("_new", starts)
@@ -40,18 +40,21 @@ def sessions(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: int) ->
     )
 
 
-def sliding_counts(df: DataFrame, time: str, amount: str) -> DataFrame:
-    """Two-hour windows starting every hour, built from hourly partial totals.
+def sliding_counts(df: DataFrame, time: str, amount: str, width_seconds: int = 7200, step_seconds: int = 3600) -> DataFrame:
+    """Windows of a width that start every step, built from partial totals per step.
 
-    Rows are totalled per hour first; only those totals are copied into the two
-    windows each hour belongs to.
+    Rows are totalled per step first; only those totals are copied into the
+    windows each step belongs to. The width must be a multiple of the step.
     """
-    hours = df.groupBy(F.window(time, "1 hour")["start"].alias("_hour")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col(amount).cast("decimal(18,2)")).alias("_sum")
+    if step_seconds <= 0 or width_seconds % step_seconds:
+        raise ValueError("the width must be a multiple of the step")
+    slots = df.groupBy(F.window(time, f"{step_seconds} seconds")["start"].alias("_slot")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_sum")
     )
-    starts = F.explode(F.expr("array(_hour, _hour - INTERVAL 1 HOUR)"))
+    back = range(0, width_seconds, step_seconds)
+    starts = F.explode(F.array(*[F.col("_slot") - F.expr(f"INTERVAL {s} SECONDS") for s in back]))
     return (
-        hours.withColumn("window_start", starts)
+        slots.withColumn("window_start", starts)
         .groupBy("window_start")
-        .agg(F.sum("_n").alias("n_events"), F.sum("_sum").cast("double").alias("total_value"))
+        .agg(F.sum("_n").alias("n_events"), F.sum("_sum").alias("total_value"))
     )

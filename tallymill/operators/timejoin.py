@@ -24,13 +24,18 @@ def asof_join(
     large: Large | None = None,
     group_rows: int = GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Each left row with ``columns`` of the latest right row at or before it.
 
     Both sides need ``keys``, ``time`` and ``tie_break``. Left rows without a
     match keep NULLs. ``inclusive=False`` asks for strictly earlier rows. Pass
-    ``large`` if the keys too large for a task are known.
+    ``large`` if the keys too large for a task are known. A NULL key matches
+    nothing, as with ``=``, unless ``null_safe`` is set.
     """
+    if not null_safe:
+        # Right rows with a NULL key can match nothing; without them left ones do not.
+        right = right.dropna(subset=list(keys))
     right_side = right.select(
         *keys, time, tie_break, F.lit(False).alias("_left"), F.struct(*columns).alias("_found")
     )
@@ -65,25 +70,30 @@ def trailing(
     ``include_now``. Rows of one instant are added up first; the total of a
     frame is then the difference of two running totals, one at each edge.
     Spark's own moving range frame would add up every frame anew. Totals must be
-    integers or decimals so that the difference is exact.
+    integers or decimals so that the difference is exact; others raise. A frame in
+    which every value is NULL, or that has no rows, has a NULL total, as in SQL.
     """
     if large is None:
         # Each row makes at most two marks.
         large = find_large(df, keys, group_rows // 2)
-    instants = df.groupBy(*keys, time).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in totals.items()])
+    known = {f"_known_{n}": F.count(c) for n, c in totals.items()}
+    sums = {n: F.coalesce(F.sum(c), F.lit(0)) for n, c in totals.items()}
+    instants = df.groupBy(*keys, time).agg(*[c.alias(n) for n, c in {**sums, **known}.items()])
     # An opening edge sits before the rows of its own instant, a closing edge after.
     closes = F.col("_closes")
     marks = instants.withColumn("_closes", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn(
         "_edge", F.when(closes, F.col(time)).otherwise(F.expr(f"`{time}` - INTERVAL {span}"))
     )
-    values = [total(f"_run_{n}", F.when(closes, F.col(n)).otherwise(F.lit(0))) for n in totals]
+    values = [total(f"_run_{n}", F.when(closes, F.col(n)).otherwise(F.lit(0))) for n in [*sums, *known]]
     run = running(marks, keys, [F.col("_edge"), closes, F.col(time)], values, large, block_rows)
 
     def framed(name: str) -> Column:
         at_close = F.max(F.when(closes, F.col(f"_run_{name}")))
         at_open = F.max(F.when(~closes, F.col(f"_run_{name}")))
         now = F.lit(0) if include_now else F.max(name)
-        return (at_close - at_open - now).alias(name)
+        return at_close - at_open - now
 
-    frames = run.groupBy(*keys, time).agg(*[framed(n) for n in totals])
+    frames = run.groupBy(*keys, time).agg(
+        *[F.when(framed(f"_known_{n}") > 0, framed(n)).alias(n) for n in totals]
+    )
     return match_rows(df, frames, [*keys, time])

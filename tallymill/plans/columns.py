@@ -15,14 +15,13 @@ from tallymill.sources.tables import table
            replace(p_name, ' ', '_') AS name_joined, trim('  ' || p_type || ' ') AS type_trimmed,
            lpad(CAST(p_size AS VARCHAR), 4, '0') AS size_padded, length(p_name) AS name_length,
            concat_ws('/', p_brand, p_type) AS label, p_name LIKE '%ring' AS is_ring
-    FROM part WHERE p_name LIKE 'red%'
+    FROM part
     """,
 )
 def string_fn(spark: SparkSession, folder: str) -> DataFrame:
     name = F.col("p_name")
     return (
         table(spark, folder, "part")
-        .filter(name.like("red%"))
         .select(
             "p_partkey",
             F.upper(name).alias("name_upper"),

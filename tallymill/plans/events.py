@@ -43,7 +43,8 @@ def tumble(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def slide(spark: SparkSession, folder: str) -> DataFrame:
-    return sliding_counts(table(spark, folder, "events"), "ts", "value")
+    counted = sliding_counts(table(spark, folder, "events"), "ts", "value", 7200, 3600)
+    return counted.withColumn("total_value", F.round("total_value", 2))
 
 
 @query("session", SESSION_SQL)

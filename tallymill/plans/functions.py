@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.functions.udfs import Words, power_means
+from tallymill.functions.udfs import UrlParts, circular_means
 from tallymill.plans.registry import query
 from tallymill.sources.tables import sql, table
 
@@ -12,28 +12,30 @@ from tallymill.sources.tables import sql, table
 @query(
     "udaf",
     """
-    SELECT event_type, round(exp(avg(ln(value))), 6) AS geometric_mean,
-           round(count(*) / sum(1 / value), 6) AS harmonic_mean, count(*) AS n_values
-    FROM events GROUP BY event_type
+    SELECT event_type, round((turn - floor(turn)) * 86400, 3) AS mean_seconds, round(sqrt(x * x + y * y) / n, 6) AS concentration,
+           n AS n_values
+    FROM (SELECT *, atan2(y, x) / (2 * pi()) AS turn
+          FROM (SELECT event_type, sum(cos(a)) AS x, sum(sin(a)) AS y, count(a) AS n
+                FROM (SELECT event_type, 2 * pi() * (epoch_us(ts) % 86400000000) / 86400000000.0 AS a FROM events)
+                WHERE a IS NOT NULL GROUP BY event_type))
     """,
 )
 def udaf(spark: SparkSession, folder: str) -> DataFrame:
-    means = power_means(table(spark, folder, "events"), ["event_type"], "value")
-    return means.withColumns({c: F.round(c, 6) for c in ["geometric_mean", "harmonic_mean"]})
+    means = circular_means(table(spark, folder, "events"), ["event_type"], "ts", 86_400)
+    return means.withColumns({"mean_seconds": F.round("mean_seconds", 3), "concentration": F.round("concentration", 6)})
 
 
 @query(
     "udtf",
-    """
-    SELECT p_partkey, CAST(i AS INTEGER) AS word_no, string_split(p_name, ' ')[i] AS word
-    FROM (SELECT p_partkey, p_name, unnest(range(1, len(string_split(p_name, ' ')) + 1)) AS i FROM part)
+    r"""
+    SELECT CAST(page_id AS INTEGER) AS page_no, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host,
+           CAST(len(regexp_extract_all(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '[^/]+')) AS INTEGER) AS depth,
+           CAST(len(regexp_extract_all(regexp_extract(url, '\?([^#]*)', 1), '[^&]+')) AS INTEGER) AS n_arguments
+    FROM pages
     """,
 )
 def udtf(spark: SparkSession, folder: str) -> DataFrame:
-    spark.udtf.register("words_of", Words)
+    spark.udtf.register("url_parts", UrlParts)
     return sql(
-        spark,
-        folder,
-        "SELECT p_partkey, w.word_no, w.word FROM {part}, LATERAL words_of(p_name) w",
-        "part",
+        spark, folder, "SELECT * FROM url_parts(TABLE(SELECT CAST(page_id AS INT) AS page_no, url FROM {pages}))", "pages"
     )

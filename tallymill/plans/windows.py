@@ -22,8 +22,8 @@ RANK_SQL = """
            CAST(ntile(4) OVER r AS INTEGER) AS ntile,
            round(percent_rank() OVER p, 9) AS percent_rank, round(cume_dist() OVER p, 9) AS cume_dist
     FROM events
-    WINDOW p AS (PARTITION BY event_type ORDER BY value),
-           r AS (PARTITION BY event_type ORDER BY value, event_id)
+    WINDOW p AS (PARTITION BY event_type ORDER BY value NULLS FIRST),
+           r AS (PARTITION BY event_type ORDER BY value NULLS FIRST, event_id)
     """
 
 
@@ -122,10 +122,10 @@ def _range_query(spark: SparkSession, folder: str, **limits: int) -> DataFrame:
         ["user_id"],
         "ts",
         "1 HOUR",
-        # Whole cents: exact like decimals, and cheaper to add up.
-        {"n_past_hour": F.lit(1).cast("long"), "_cents": F.round(F.col("value") * 100).cast("long")},
+        # Differences of totals must be exact; twelve places are finer than any amount.
+        {"n_past_hour": F.lit(1).cast("long"), "_sum": F.col("value").cast("decimal(28,12)")},
         **limits,
-    ).select("event_id", "user_id", "n_past_hour", (F.col("_cents") / 100).alias("value_past_hour"))
+    ).select("event_id", "user_id", "n_past_hour", F.round(F.col("_sum").cast("double"), 2).alias("value_past_hour"))
 
 
 @query("range_frame", RANGE_SQL)
@@ -152,7 +152,7 @@ def _interval_query(
 ) -> DataFrame:
     # One row per event with its errors counted: pairs of events and errors
     # would grow with the square of a busy user's rows.
-    events = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type").dropna(subset=["user_id"])
     is_error = F.col("event_type") == "error"
     # Both steps handle at most two rows per event of a user.
     large = find_large(events, ["user_id"], group_rows // 2)

@@ -11,8 +11,10 @@ open at the end of the input stay in the state for the next run.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -30,9 +32,6 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
-# Tasks that share the rows of one key while its repeats are dropped.
-SPREAD = 32
-
 
 def instant(time: str) -> Column:
     """A zone-less timestamp read as UTC, whatever the session zone; watermarks need it."""
@@ -89,12 +88,12 @@ def tumbling(delay: str, width: str) -> Transform:
         return (
             stream.withWatermark("at", delay)
             .groupBy(F.window("at", width).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
+            .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total"))
             .select(
                 zone_less(F.col("w.start")).alias("window_start"),
                 zone_less(F.col("w.end")).alias("window_end"),
                 "n_events",
-                F.col("total").cast("double").alias("total_value"),
+                F.round("total", 2).alias("total_value"),
             )
         )
 
@@ -130,19 +129,28 @@ def sessions(delay: str, gap: str) -> Transform:
     return job
 
 
-def first_seen(delay: str, keys: list[str], row_id: str, spread: int = SPREAD) -> Transform:
+def first_seen(delay: str, keys: list[str]) -> Transform:
     """One row per key and stretch of ``delay``.
 
-    Repeats are dropped twice: first among the rows of a key that share a slice
-    of ``row_id``, so that the rows of a frequent key go to many tasks, then
-    among the few rows left.
+    Each Arrow batch is first cut, without state, to the earliest and the latest
+    row of every key: the state then drops of the key what it would have dropped
+    anyway, the watermark still sees the latest time, and a frequent key sends few
+    rows to the task that holds its state.
     """
 
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            cut = rows.group_by(keys).aggregate([("at", "min"), ("at", "max")])
+            first = cut.select([*keys, "at_min"]).rename_columns([*keys, "at"])
+            last = cut.filter(pc.not_equal(cut["at_min"], cut["at_max"])).select([*keys, "at_max"]).rename_columns([*keys, "at"])
+            yield from pa.concat_tables([first, last]).cast(batch.schema).to_batches()
+
     def job(stream: DataFrame) -> DataFrame:
+        rows = stream.select(*keys, "at")
         return (
-            stream.withWatermark("at", delay)
-            .select(*keys, "at", F.pmod(F.xxhash64(row_id), F.lit(spread)).alias("slice"))
-            .dropDuplicatesWithinWatermark([*keys, "slice"])
+            rows.mapInArrow(ends, rows.schema)
+            .withWatermark("at", delay)
             .dropDuplicatesWithinWatermark(keys)
             .select(*keys)
         )

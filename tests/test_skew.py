@@ -10,7 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallymill.operators.layout import POSITION, Large, find_large, lay_out, latest, running, total
+from tallymill.operators.layout import BLOCK_ROWS, POSITION, Large, find_large, lay_out, latest, running, total
 from tallymill.operators.ordered import percentiles, ranks, windowed
 from tallymill.operators.timejoin import asof_join, trailing
 from tests.compare import differences
@@ -82,6 +82,21 @@ def test_neighbours_and_first_rows(skewed, skewed_df, form):
     assert differences(got.toArrow(), want) == []
 
 
+def test_rough_totals_are_refused(skewed_df):
+    for form in (Large(["user_id"]), Large(["user_id"], every=True)):
+        with pytest.raises(TypeError):
+            running(skewed_df, ["user_id"], [F.col("ts")], [total("t", F.col("value"))], form)
+
+
+def test_ranges_follow_the_counted_rows(spark, skewed_df):
+    by, blocks = [F.col("ts"), F.col("event_id")], BLOCK_ROWS * 19
+    laid_out = lay_out(skewed_df, ["user_id"], by, rows=blocks)
+    assert len(laid_out.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert laid_out.agg(F.max(POSITION)).first()[0] == 899
+    assert find_large(skewed_df, ["user_id"], 300).rows == skewed_df.filter("user_id = 1").count()
+    assert find_large(skewed_df, ["user_id"], 1).rows == 900
+
+
 def test_frame_longer_than_a_block_is_refused(skewed_df):
     with pytest.raises(ValueError):
         windowed(skewed_df, ["user_id"], [F.col("ts")], {}, before=5, group_rows=1, block_rows=5)
@@ -121,20 +136,21 @@ def test_running_values(skewed, skewed_df, every, block_rows):
     assert ours == {r.event_id: r.cents for r in native.collect()}
 
 
-@pytest.mark.parametrize("inclusive", [True, False])
+@pytest.mark.parametrize("inclusive,null_safe", [(True, False), (False, True), (False, False)])
 @pytest.mark.parametrize("form", FORMS)
-def test_asof(skewed, skewed_df, form, inclusive):
+def test_asof(skewed, skewed_df, form, inclusive, null_safe):
     clicks = skewed_df.filter("event_type = 'click'")
     buys = skewed_df.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    got = asof_join(buys, clicks, ["user_id"], "ts", "event_id", ["event_id", "value"], inclusive, **form)
+    got = asof_join(buys, clicks, ["user_id"], "ts", "event_id", ["event_id", "value"], inclusive, null_safe=null_safe, **form)
     compare = "<=" if inclusive else "<"
+    equal = "IS NOT DISTINCT FROM" if null_safe else "="
     want = expected(
         skewed,
         f"""
         SELECT p.event_id, p.user_id, p.ts, c.event_id AS right_event_id, c.value AS right_value
         FROM ev p LEFT JOIN LATERAL (
           SELECT event_id, value FROM ev c
-          WHERE c.event_type = 'click' AND c.user_id IS NOT DISTINCT FROM p.user_id AND c.ts {compare} p.ts
+          WHERE c.event_type = 'click' AND c.user_id {equal} p.user_id AND c.ts {compare} p.ts
           ORDER BY c.ts DESC, c.event_id DESC LIMIT 1) c ON true
         WHERE p.event_type = 'purchase'
         """,
@@ -158,7 +174,7 @@ def test_trailing(skewed, skewed_df, form, include_now):
     want = expected(
         skewed,
         f"""
-        SELECT a.event_id, count(b.event_id) AS n, round(coalesce(sum(b.value), 0), 2) AS amount
+        SELECT a.event_id, nullif(count(b.event_id), 0) AS n, round(sum(b.value), 2) AS amount
         FROM ev a LEFT JOIN ev b ON a.user_id IS NOT DISTINCT FROM b.user_id
           AND b.ts >= a.ts - INTERVAL 90 MINUTES AND b.ts {upper} a.ts
         GROUP BY a.event_id

@@ -62,10 +62,9 @@ def test_sessions_continue_over_a_restart(spark, place):
     assert found == [(1, 3), (2, 1)]
 
 
-@pytest.mark.parametrize("spread", [1, 4])
-def test_repeats_are_dropped_over_restarts(spark, place, spread):
+def test_repeats_are_dropped_over_restarts(spark, place):
     path, folder = place
-    job = jobs.first_seen("1 hour", ["user_id", "event_type"], "event_id", spread)
+    job = jobs.first_seen("1 hour", ["user_id", "event_type"])
     deliver(spark, [event(i, i % 7, user=i % 2) for i in range(50)], path)
     assert run(spark, job, path, folder).count() == 2
     deliver(spark, [event(60, 8), event(61, 9, kind="click"), event(62, 9, kind="click")], path)
@@ -76,6 +75,15 @@ def test_repeats_are_dropped_over_restarts(spark, place, spread):
     ]
 
 
+def test_a_key_comes_back_once_its_state_has_expired(spark, place):
+    path, folder = place
+    job = jobs.first_seen("1 hour", ["user_id"])
+    for number, (minute, user) in enumerate([(0, 1), (30, 1), (132, 8), (133, 9), (140, 1)]):
+        deliver(spark, [event(number, minute, user=user)], path)
+        found = sorted(r.user_id for r in run(spark, job, path, folder).collect())
+    assert found == [1, 1, 8, 9]
+
+
 def test_settings_are_put_back(spark, place):
     name = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
     before = spark.conf.get(name)
