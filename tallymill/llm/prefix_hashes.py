@@ -167,7 +167,7 @@ def compared(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     The next row is that with the next smaller id, and after the last comes the
     first; a single row is its own next. Rows with a null id come last, repeated
-    ids by their texts. Null texts count as empty. An empty table gives none, and
+    ids by a hash of their texts. Null texts count as empty. An empty table gives none, and
     other columns are ignored whatever their names.
 
     The texts are shuffled once, into ranges of ids. A row is compared with the one
@@ -176,7 +176,8 @@ def compared(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """
     id_type = docs.schema[id_column].dataType.simpleString()
     chosen = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    order = [F.desc_nulls_last("id"), F.col("text")]
+    # Texts are ordered by their hashes, as the bounds of the ranges go through the driver.
+    order = [F.desc_nulls_last("id"), F.xxhash64("text")]
     ordered = chosen.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
