@@ -256,13 +256,13 @@ def main_text(page: str, weight: Mapping[str, float]) -> str:
 def learn(pages: DataFrame, html_column: str = "html", max_pages: int = TRAIN_PAGES) -> dict[str, float]:
     """Weights from at most ``max_pages`` pages that mark their main text, those with the smallest hashes."""
     page = F.col(html_column)
-    marked = (
-        pages.filter(page.isNotNull() & page.rlike("(?i)<(article|main)[ >]"))
-        .select(page.alias("html"), F.xxhash64(page).alias("h"))
-        .orderBy("h")
-        .limit(max_pages)
-        .select("html")
+    marked = pages.filter(page.isNotNull() & page.rlike("(?i)<(article|main)[ >]")).select(
+        page.alias("html"), F.xxhash64(page).alias("h")
     )
+    # The hashes alone are ordered; the few chosen are then joined with the pages. Of
+    # pages that are equal one counts.
+    chosen = marked.groupBy("h").agg(F.count(F.lit(1)).alias("n")).orderBy("h").limit(max_pages).select("h")
+    marked = marked.join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("html").alias("html")).select("html")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[str, bool], int] = {}
