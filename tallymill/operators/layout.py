@@ -141,18 +141,12 @@ def with_halo(laid_out: DataFrame, before: int, after: int, block_rows: int = BL
     """Copy edge rows into the neighbouring blocks.
 
     Each block of the result (column ``_seat``) also has the ``before`` rows
-    ahead of it and the ``after`` rows behind it. Rows at home satisfy
-    ``_seat = _block``. Both counts must stay below ``block_rows``.
+    ahead of it and the ``after`` rows behind it, which may be those of several
+    blocks. Rows at home satisfy ``_seat = _block``.
     """
-    inside = F.col(POSITION) % block_rows
-    seats = F.array_compact(
-        F.array(
-            F.col(BLOCK),
-            F.when(inside >= block_rows - before, F.col(BLOCK) + 1),
-            F.when(inside < after, F.col(BLOCK) - 1),
-        )
-    )
-    return laid_out.withColumn(SEAT, F.explode(seats))
+    first = F.expr(f"greatest({POSITION} - {after}, 0) div {block_rows}")
+    last = F.expr(f"({POSITION} + {before}) div {block_rows}")
+    return laid_out.withColumn(SEAT, F.explode(F.sequence(first, last)))
 
 
 def block_window(keys: Sequence[str], block: str = BLOCK):

@@ -6,7 +6,8 @@ form of ``layout`` for keys that do not. Both give the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -16,6 +17,7 @@ from tallymill.operators.layout import (
     GROUP_ROWS,
     POSITION,
     SEAT,
+    Large,
     attach,
     block_window,
     find_large,
@@ -155,31 +157,60 @@ def _block_shape(laid_out: DataFrame, keys: Sequence[str], by: str) -> DataFrame
     )
 
 
+@dataclass(frozen=True)
+class Near:
+    """A window column and the rows it sees, ``first`` to ``last`` counted from its own row."""
+
+    value: Column
+    first: int
+    last: int
+    aggregate: bool
+
+    def over(self, window) -> Column:
+        if self.aggregate:
+            return self.value.over(window.rowsBetween(self.first, self.last))
+        return (F.lag(self.value, -self.first) if self.first <= 0 else F.lead(self.value, self.first)).over(window)
+
+
+def neighbour(column: str, offset: int) -> Near:
+    """The column's value ``offset`` rows ahead, or back if it is negative; NULL beyond the key's rows."""
+    return Near(F.col(column), offset, offset, aggregate=False)
+
+
+def frame(aggregate: Column, first: int, last: int) -> Near:
+    """An aggregate over the rows from ``first`` to ``last``, counted from the current one, as in ROWS BETWEEN."""
+    if first > last:
+        raise ValueError("a frame must not end before it starts")
+    if first <= W.unboundedPreceding or last >= W.unboundedFollowing:
+        raise ValueError("a frame needs two bounds; running totals are those of layout.running")
+    return Near(aggregate, first, last, aggregate=True)
+
+
 def windowed(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    near: Mapping[str, Callable[..., Column]],
-    before: int = 0,
-    after: int = 0,
+    near: Mapping[str, Near],
     nth: Mapping[str, tuple[str, int]] | None = None,
     group_rows: int = GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
+    large: Large | None = None,
 ) -> DataFrame:
     """Window columns over the neighbours and the first rows of each key.
 
-    ``near`` maps a name to a function from an ordered window to a column, for
-    example ``{"prev": lambda w: F.lag("value").over(w)}``. It may look at most
-    ``before`` rows back and ``after`` ahead. ``nth`` maps a name to a column and
-    a number n: the key's nth value, NULL on the rows before it.
+    ``near`` maps a name to a ``neighbour`` or a ``frame``; how many rows it looks
+    back and ahead is read from there. ``nth`` maps a name to a column and a
+    number n: the key's nth value, NULL on the rows before it. ``large`` are the
+    keys too large for a task, if they have been found already.
     """
     nth = nth or {}
-    if max(before, after) >= block_rows:
-        raise ValueError("a frame must be shorter than a block")
+    before = max([-n.first for n in near.values()], default=0)
+    after = max([n.last for n in near.values()], default=0)
+    before, after = max(before, 0), max(after, 0)
 
     def native(part: DataFrame) -> DataFrame:
         window = W.partitionBy(*keys).orderBy(*order)
-        return part.withColumns({name: make(window) for name, make in near.items()}).withColumns(
+        return part.withColumns({name: n.over(window) for name, n in near.items()}).withColumns(
             {name: F.nth_value(c, n).over(window) for name, (c, n) in nth.items()}
         )
 
@@ -194,7 +225,7 @@ def windowed(
             seated = attach(seated, heads, keys, SEAT)
         window = block_window(keys, SEAT)
         return (
-            seated.withColumns({name: make(window) for name, make in near.items()})
+            seated.withColumns({name: n.over(window) for name, n in near.items()})
             .filter(F.col(SEAT) == F.col(BLOCK))
             .withColumns(
                 {
@@ -205,7 +236,7 @@ def windowed(
             .select(*df.columns, *near, *nth)
         )
 
-    large = find_large(df, keys, group_rows)
+    large = large or find_large(df, keys, group_rows)
     return large.apply(df, native, blocked)
 
 

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, find_large, running, total
+from tallymill.operators.ordered import neighbour, windowed
+from tallymill.session import written
 
 
 def micros(time: str):
@@ -12,24 +16,35 @@ def micros(time: str):
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{time}`)")
 
 
-def sessions(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: int) -> DataFrame:
+def sessions(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    gap_seconds: int,
+    group_rows: int = GROUP_ROWS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
     """Sessions per key: rows less than ``gap_seconds`` apart belong together.
 
     Rows in one slot of the gap's length are always in one session, so each slot
-    is first reduced to its ends and count by an ordinary aggregation. The
-    window that joins slots sees at most (time covered / gap) rows per key,
-    however many events the key has.
+    is first reduced to its ends and count by an ordinary aggregation. A key has
+    at most (time covered / gap) slots, however many events; where even those are
+    too many for a task, slots are joined block by block.
     """
     slot = F.floor(micros(time) / (gap_seconds * 1_000_000))
-    slots = df.groupBy(*keys, slot.alias("_slot")).agg(
-        F.min(time).alias("_from"), F.max(time).alias("_to"), F.count(F.lit(1)).alias("_n")
+    slots = written(
+        df.groupBy(*keys, slot.alias("_slot")).agg(
+            F.min(time).alias("_from"), F.max(time).alias("_to"), F.count(F.lit(1)).alias("_n")
+        ),
+        "slots",
     )
-    by_time = W.partitionBy(*keys).orderBy("_slot")
-    open_until = F.lag("_to").over(by_time) + F.expr(f"INTERVAL {gap_seconds} SECONDS")
-    starts = F.when(F.col("_from") < open_until, F.lit(0)).otherwise(F.lit(1))
+    order = [F.col("_slot")]
+    large = find_large(slots, keys, group_rows)
+    joined = windowed(slots, keys, order, {"_before": neighbour("_to", -1)}, block_rows=block_rows, large=large)
+    goes_on = F.col("_from") < F.col("_before") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    starts = F.when(goes_on, F.lit(0)).otherwise(F.lit(1)).cast("long")
     return (
-        slots.withColumn("_new", starts)
-        .withColumn("_session", F.sum("_new").over(by_time.rowsBetween(W.unboundedPreceding, 0)))
+        running(joined, keys, order, [total("_session", starts)], large, block_rows)
         .groupBy(*keys, "_session")
         .agg(
             F.min("_from").alias("session_start"),

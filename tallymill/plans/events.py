@@ -50,3 +50,9 @@ def slide(spark: SparkSession, folder: str) -> DataFrame:
 @query("session", SESSION_SQL)
 def session(spark: SparkSession, folder: str) -> DataFrame:
     return sessions(table(spark, folder, "events"), ["user_id"], "ts", 3600)
+
+
+@query("session_hot", SESSION_SQL)
+def session_hot(spark: SparkSession, folder: str) -> DataFrame:
+    # The form for users of very many slots, forced by low limits.
+    return sessions(table(spark, folder, "events"), ["user_id"], "ts", 3600, group_rows=60, block_rows=400)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, find_large
-from tallymill.operators.ordered import ranks, windowed
+from tallymill.operators.ordered import frame, neighbour, ranks, windowed
 from tallymill.operators.timejoin import asof_join, trailing
 from tallymill.plans.registry import query
 from tallymill.session import written
@@ -56,9 +56,7 @@ def _lag_query(spark: SparkSession, folder: str, **limits: int) -> DataFrame:
         events,
         ["user_id"],
         [F.col("ts"), F.col("event_id")],
-        {"prev_value": lambda w: F.lag("value").over(w), "after_next_type": lambda w: F.lead("event_type", 2).over(w)},
-        before=1,
-        after=2,
+        {"prev_value": neighbour("value", -1), "after_next_type": neighbour("event_type", 2)},
         nth={"first_value": ("value", 1), "third_value": ("value", 3)},
         **limits,
     ).select("event_id", "user_id", "prev_value", "after_next_type", "first_value", "third_value")
@@ -89,13 +87,12 @@ def _rows_query(spark: SparkSession, folder: str, **limits: int) -> DataFrame:
         ["user_id"],
         [F.col("ts"), F.col("event_id")],
         {
-            "sum3": lambda w: F.round(F.sum("value").over(w.rowsBetween(-2, 0)), 2),
-            "n3": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-2, 0)),
-            "max3": lambda w: F.max("value").over(w.rowsBetween(-2, 0)),
+            "sum3": frame(F.sum("value"), -2, 0),
+            "n3": frame(F.count(F.lit(1)), -2, 0),
+            "max3": frame(F.max("value"), -2, 0),
         },
-        before=2,
         **limits,
-    ).select("event_id", "sum3", "n3", "max3")
+    ).select("event_id", F.round("sum3", 2).alias("sum3"), "n3", "max3")
 
 
 @query("rows_frame", ROWS_SQL)

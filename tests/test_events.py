@@ -33,7 +33,8 @@ def test_sessions_agree_with_the_native_window(spark, skewed_df):
             .agg(F.count(F.lit(1)).alias("n_events"))
             .select("user_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n_events")
         )
-        assert differences(sessions(known, ["user_id"], "ts", gap).toArrow(), native.toArrow()) == []
+        for form in ({}, {"group_rows": 1, "block_rows": 7}, {"group_rows": 40, "block_rows": 30}):
+            assert differences(sessions(known, ["user_id"], "ts", gap, **form).toArrow(), native.toArrow()) == []
 
 
 def test_times_before_1970(spark):

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tallymill.operators.layout import BLOCK_ROWS, POSITION, Large, find_large, lay_out, latest, running, total
-from tallymill.operators.ordered import percentiles, ranks, windowed
+from tallymill.operators.ordered import frame, neighbour, percentiles, ranks, windowed
 from tallymill.operators.timejoin import asof_join, trailing
 from tests.compare import differences
 
@@ -61,12 +61,10 @@ def test_neighbours_and_first_rows(skewed, skewed_df, form):
         ["user_id"],
         [F.col("ts"), F.col("event_id")],
         {
-            "back": lambda w: F.lag("value", 3).over(w),
-            "ahead": lambda w: F.lead("event_id", 2).over(w),
-            "n": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-3, 2)),
+            "back": neighbour("value", -3),
+            "ahead": neighbour("event_id", 2),
+            "n": frame(F.count(F.lit(1)), -3, 2),
         },
-        before=3,
-        after=2,
         nth={"first_id": ("event_id", 1), "fifth_value": ("value", 5)},
         **form,
     ).drop("ts", "value")
@@ -97,9 +95,30 @@ def test_ranges_follow_the_counted_rows(spark, skewed_df):
     assert find_large(skewed_df, ["user_id"], 1).rows == 900
 
 
-def test_frame_longer_than_a_block_is_refused(skewed_df):
-    with pytest.raises(ValueError):
-        windowed(skewed_df, ["user_id"], [F.col("ts")], {}, before=5, group_rows=1, block_rows=5)
+def test_frames_are_longer_than_blocks(skewed, skewed_df):
+    near = {"n": frame(F.count(F.lit(1)), -40, 25), "t": frame(F.sum("value"), -30, -7), "far": neighbour("event_id", 33)}
+    source = skewed_df.select("event_id", "user_id", "ts", "value")
+    by = [F.col("ts"), F.col("event_id")]
+    forms = [
+        windowed(source, ["user_id"], by, near, **f).toArrow()
+        for f in ({}, {"group_rows": 1, "block_rows": 5}, {"group_rows": 100, "block_rows": 23})
+    ]
+    # Sums of doubles too are equal to the last bit, as a frame is added up in order.
+    assert all(sorted(map(repr, f.to_pylist())) == sorted(map(repr, forms[0].to_pylist())) for f in forms)
+    want = expected(
+        skewed,
+        """
+        SELECT event_id, count(*) OVER (w ROWS BETWEEN 40 PRECEDING AND 25 FOLLOWING) AS n, lead(event_id, 33) OVER w AS far
+        FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+        """,
+    )
+    assert differences(forms[1].select(["event_id", "n", "far"]), want) == []
+
+
+def test_frames_without_bounds_are_refused():
+    for first, last in ((Window.unboundedPreceding, 0), (0, Window.unboundedFollowing), (1, 0)):
+        with pytest.raises(ValueError):
+            frame(F.count(F.lit(1)), first, last)
 
 
 @pytest.mark.parametrize("every,block_rows", [(False, 1), (True, 3), (True, 40), (True, 5000)])
@@ -231,8 +250,8 @@ def test_part_of_the_result_can_be_selected(skewed_df, form):
         events, ["user_id"], "ts", "1 HOUR", {"a": F.lit(1).cast("long"), "b": F.col("event_id")}, **form
     )
     placed = windowed(
-        events, ["user_id"], [F.col("ts"), F.col("event_id")], {"back": lambda w: F.lag("event_id").over(w)},
-        before=1, nth={"first": ("event_id", 1), "second": ("ts", 2)}, **form,
+        events, ["user_id"], [F.col("ts"), F.col("event_id")], {"back": neighbour("event_id", -1)},
+        nth={"first": ("event_id", 1), "second": ("ts", 2)}, **form,
     )
     for whole in (ranked, matched, framed, placed):
         rows = {r.event_id: r for r in whole.collect()}
