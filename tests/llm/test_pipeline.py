@@ -100,3 +100,23 @@ def test_encoding_is_that_of_the_library(stages):
 
 def test_run(spark, stages):
     assert corpus_pipeline.run(spark, SMALL).count() == stages[-1][1].count()
+
+
+@pytest.mark.parametrize("place", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_odd_rows(spark, place):
+    """Nulls in any column, empty and repeated rows, other columns of clashing names, an empty table."""
+    stage = corpus_pipeline.STAGES[place][1]
+    rows = [
+        (1, None, None, None, None, "x", 1), (2, "", "en", "web", 0, "x", 1), (3, "a few words here.", "en", None, 17, None, None),
+        (3, "a few words here.", "en", None, 17, None, None), (None, "no id at all.", "en", "web", 13, "x", 2),
+        (4, "one two three four five. " * 4000, "en", "web", 100_000, "x", 3),
+    ]
+    names = "doc_id long, text string, lang string, source string, n_chars int, id string, component_id int"
+    docs = spark.createDataFrame(rows, names)
+    given = {r[0] for r in rows}
+    found = stage(spark, docs, SMALL)
+    got = found.collect()
+    assert {r.doc_id for r in got} <= given
+    if place < len(corpus_pipeline.STAGES) - 1:
+        assert found.columns == docs.columns
+    assert stage(spark, docs.limit(0), SMALL).collect() == []
