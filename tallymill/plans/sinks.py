@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymill.plans.registry import query
-from tallymill.session import new_path
+from tallymill.session import scratch_path
 from tallymill.sources.tables import table, write_partitioned
 
 
@@ -18,7 +18,7 @@ from tallymill.sources.tables import table, write_partitioned
     """,
 )
 def partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_path(spark, "orders-by-year")
+    path = scratch_path(spark, "orders-by-year")
     write_partitioned(table(spark, folder, "orders").withColumn("o_year", F.year("o_orderdate")), path, "o_year")
     return (
         spark.read.parquet(path)

@@ -6,11 +6,11 @@ sessions whose end the watermark (latest event time less the delay) has passed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymill.plans.events import SESSION_SQL
 from tallymill.plans.registry import query
-from tallymill.session import new_path
+from tallymill.session import scratch_path
 from tallymill.sources.tables import table, table_path
 from tallymill.streaming import jobs
 
@@ -85,10 +85,30 @@ def stream_late(spark: SparkSession, folder: str) -> DataFrame:
     from the saved state, finds the errors, and drops those of closed days.
     """
     events = table(spark, folder, "events")
-    place = new_path(spark, "stream-late")
+    place = scratch_path(spark, "stream-late")
     arrived = f"{place}/arrived"
     for part in ("event_type <> 'error'", "event_type = 'error'"):
         events.filter(part).write.mode("append").parquet(arrived)
         stream = jobs.tumbling("2 days", "1 day")(jobs.arrivals(spark, arrived, events.schema))
         jobs.run_once(stream, place)
     return jobs.output(spark, place, stream.schema)
+
+
+@query(
+    "stream_join",
+    """
+    WITH mark AS (
+      SELECT least(max(ts) FILTER (WHERE event_type = 'error'), max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 2 HOURS AS reached
+      FROM events)
+    SELECT e.event_id, e.user_id, e.ts AS asked_at, count(p.ts) AS n_answers, min(p.ts) AS answered_at
+    FROM events e LEFT JOIN events p
+      ON p.user_id = e.user_id AND p.event_type = 'purchase' AND p.ts > e.ts AND p.ts <= e.ts + INTERVAL 1 HOUR
+    -- An hour is closed once no purchase in time for its last error can come any more.
+    WHERE e.event_type = 'error' AND date_trunc('hour', e.ts) + INTERVAL 2 HOURS <= (SELECT reached FROM mark)
+    GROUP BY e.event_id, e.user_id, e.ts
+    """,
+)
+def stream_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams joined by time: for each error the purchases that its user makes within the next hour."""
+    job = jobs.answers("2 hours", F.expr("event_type = 'error'"), F.expr("event_type = 'purchase'"))
+    return _streamed(spark, folder, job, "stream-join")

@@ -71,6 +71,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """As ``new_path``, for a folder that is removed when the driver ends."""
+    path = new_path(spark, label)
+    _remove_at_exit(spark, path)
+    return path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
@@ -79,13 +86,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    _remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Have the file system drop an intermediate table when the driver ends."""
+    """Have the file system drop a folder when the driver ends, should it exist then."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tallymill.session import new_path, settings
+from tallymill.session import scratch_path, settings
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -76,8 +76,8 @@ def output(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
 
 
 def streamed(spark: SparkSession, path: str, schema: StructType, job: Transform, label: str) -> DataFrame:
-    """Run ``job`` over the files at ``path`` and return what it wrote."""
-    folder = new_path(spark, label)
+    """Run ``job`` over the files at ``path`` and return what it wrote, which stays until the driver ends."""
+    folder = scratch_path(spark, label)
     stream = job(arrivals(spark, path, schema))
     run_once(stream, folder)
     return output(spark, folder, stream.schema)
@@ -129,6 +129,45 @@ def sessions(delay: str, gap: str) -> Transform:
     return job
 
 
+def answers(delay: str, question: Column, answer: Column) -> Transform:
+    """For each row that satisfies ``question``: the user's rows within the next hour that satisfy ``answer``.
+
+    Returns the number of answers and the time of the first, for questions without any
+    too, once the watermarks of both sides say that no more can come. Both sides wait in
+    the state, an hour and the delay long.
+
+    Users are cut into hours, so that the rows of a busy one lie in as many tasks as
+    hours are open: a question waits in its own hour and in the next one, an answer
+    belongs to one hour. What is found in the two hours is added up at the end, by
+    ``event_id``, which should identify a question.
+    """
+    hour = F.expr("(unix_micros(at) - pmod(unix_micros(at), 3600000000)) div 3600000000")
+
+    def job(stream: DataFrame) -> DataFrame:
+        asked = (
+            stream.filter(question)
+            .select("event_id", "user_id", F.col("at").alias("asked_at"), F.explode(F.array(hour, hour + 1)).alias("hour"))
+            .withWatermark("asked_at", delay)
+        )
+        answered = (
+            stream.filter(answer)
+            .select(F.col("user_id").alias("_user"), F.col("at").alias("answered_at"), hour.alias("_hour"))
+            .withWatermark("answered_at", delay)
+        )
+        in_time = "answered_at > asked_at AND answered_at <= asked_at + INTERVAL 1 HOUR"
+        met = asked.join(answered, F.expr(f"user_id = _user AND hour = _hour AND {in_time}"), "leftOuter")
+        return (
+            met.groupBy("event_id", "user_id", F.window("asked_at", "1 hour"))
+            .agg(F.min("asked_at").alias("asked"), F.count("answered_at").alias("n_answers"), F.min("answered_at").alias("first"))
+            .select(
+                "event_id", "user_id", zone_less(F.col("asked")).alias("asked_at"), "n_answers",
+                zone_less(F.col("first")).alias("answered_at"),
+            )
+        )
+
+    return job
+
+
 def first_seen(delay: str, keys: list[str]) -> Transform:
     """One row per key and stretch of ``delay``.
 

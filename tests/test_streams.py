@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallymill.streaming import jobs
 
@@ -104,3 +105,22 @@ def test_windows_do_not_depend_on_the_session_zone(spark, place, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert sorted((r.window_start, r.n_events) for r in found) == [(START, 24), (START + dt.timedelta(days=1), 24)]
+
+
+def test_questions_wait_for_answers_over_a_restart(spark, place):
+    path, folder = place
+    job = jobs.answers("10 minutes", F.expr("event_type = 'error'"), F.expr("event_type = 'purchase'"))
+    at = lambda minute: START + dt.timedelta(minutes=minute)
+    # The hour of 0:00 is still open: the answer to the second error comes with the next delivery, over the hour's edge.
+    deliver(spark, [event(0, 0, kind="error"), event(1, 55, kind="error"), event(2, 10, kind="purchase"), event(3, 60, kind="purchase"), event(4, 61, user=2, kind="error")], path)
+    assert run(spark, job, path, folder).count() == 0
+    late = event(9, 1, user=3, kind="error")
+    deliver(spark, [event(5, 100, kind="purchase"), event(6, 56, user=7, kind="purchase"), event(7, 300, kind="error"), event(8, 300, kind="purchase")], path)
+    found = sorted(map(tuple, run(spark, job, path, folder).collect()))
+    first = [(0, 1, at(0), 2, at(10)), (1, 1, at(55), 2, at(60)), (4, 2, at(61), 0, None)]
+    assert found == first
+    # What is late by more than the delay is dropped; without new rows nothing is added.
+    deliver(spark, [late], path)
+    assert sorted(map(tuple, run(spark, job, path, folder).collect())) == first
+    deliver(spark, [event(10, 900, kind="error"), event(11, 900, kind="purchase")], path)
+    assert sorted(map(tuple, run(spark, job, path, folder).collect())) == [*first, (7, 1, at(300), 0, None)]
