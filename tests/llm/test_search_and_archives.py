@@ -23,7 +23,7 @@ def test_query_equals_sql(spark, name):
     assert differences(found, duck(SMALL).sql(contract.oracle_sql()[name]).to_arrow_table()) == []
 
 
-@pytest.mark.parametrize("limits", [{}, {"block_rows": 7, "query_rows": 3}])
+@pytest.mark.parametrize("limits", [{}, {"block_rows": 7, "query_rows": 3}, {"block_rows": 7, "query_rows": 1, "held_blocks": 2}])
 def test_search_with_ties_and_odd_vectors(spark, limits):
     draw = random.Random(2)
     rows = [(i, [draw.choice([0.0, 0.5, -0.25, 0.1]) for _ in range(6)], "x") for i in range(0, 300, 3)]
@@ -42,6 +42,39 @@ def test_search_with_ties_and_odd_vectors(spark, limits):
     assert topk_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_search_with_repeated_ids_and_large_numbers(spark):
+    from math import floor
+
+    draw = random.Random(8)
+    rows = [(i, [float(draw.randrange(-3, 4)) for _ in range(4)]) for i in range(40)]
+    # Two vectors of one query's id, one of them twice; one candidate's row twice; numbers beyond 32 bits.
+    rows += [(50, [1.0, 0.0, 0.0, 0.0]), (50, [0.0, 0.0, -2.0, 1.0]), (50, [1.0, 0.0, 0.0, 0.0]), (7, [9.0, 9.0, -9.0, 9.0]), (7, [9.0, 9.0, -9.0, 9.0])]
+    rows += [(100, [1e7, -1e7, 1e6, 0.5]), (101, [1e7, 6e6, -1e7, 2e5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    whole = [(i, [floor(256 * x) for x in v]) for i, v in rows]
+    expected = []
+    for q in (0, 50, 100):
+        asking = {tuple(v) for i, v in whole if i == q}
+        hits = sorted((-sum(a * b for a, b in zip(a_, v)), i) for a_ in asking for i, v in whole if i != q)
+        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(hits[:5], 1)]
+    for limits in ({}, {"block_rows": 3, "query_rows": 1, "held_blocks": 1}):
+        assert sorted(map(tuple, topk_search.top_k(df, F.col("vec_id") % 50 == 0, **limits).collect())) == sorted(expected)
+
+
+def test_scores_are_exact_or_refused(spark):
+    import numpy as np
+
+    large = np.array([[2**40, -(2**40), 3]], np.int64)
+    found = topk_search.accumulate(large, np.array([[2**40, 2**40, 5], [2**40, 0, 0]], np.int64))
+    assert found.tolist() == [[15, 2**80]]
+    with pytest.raises(Exception, match="does not fit"):
+        df = spark.createDataFrame([(0, [1e16]), (1, [1e16])], "vec_id long, embedding array<double>")
+        topk_search.top_k(df, F.col("vec_id") % 50 == 0).collect()
+    df = spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="2\\^62"):
+        topk_search.top_k(df, F.col("vec_id") % 50 == 0).collect()
+
+
 def records(n):
     return [warc.page_record(i, f"http://x/{i}", (f"<p>page {i} " * (i + 3)).encode(), hashlib.sha256((f"<p>page {i} " * (i + 3)).encode()).hexdigest(), None) for i in range(n)]
 
