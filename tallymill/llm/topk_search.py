@@ -30,6 +30,8 @@ BLOCK_ROWS = 4096
 QUERY_ROWS = 512
 #: Blocks of queries that a task holds, about: at 64 components some 64 MB.
 HELD_BLOCKS = 256
+#: Query rows whose scores are added up together.
+_ROWS_AT_ONCE = 8
 #: Scaled components from here on are refused.
 _LARGEST = 2**62
 
@@ -76,16 +78,19 @@ def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     most = _most(queries) * _most(candidates) * max(queries.shape[1], 1)
     kind = np.int32 if most < 2**31 else np.int64 if most < 2**63 else object
     scores = np.zeros((len(queries), len(candidates)), kind)
-    queries = queries.astype(kind)
-    for term, values in enumerate(np.ascontiguousarray(candidates.T.astype(kind))):
-        posted = np.flatnonzero(values)
-        every = len(posted) == len(values)
-        weight = values if every else values[posted]
-        for row in np.flatnonzero(queries[:, term]):
-            if every:
-                scores[row] += queries[row, term] * weight
-            else:
-                scores[row, posted] += queries[row, term] * weight
+    queries, terms = queries.astype(kind), np.ascontiguousarray(candidates.T.astype(kind))
+    postings = [np.flatnonzero(values) for values in terms]
+    part = np.empty((_ROWS_AT_ONCE, len(candidates)), kind)
+    # A few rows at a time, so that their scores stay in the cache from term to term.
+    for start in range(0, len(queries), _ROWS_AT_ONCE):
+        few, here = queries[start : start + _ROWS_AT_ONCE], scores[start : start + _ROWS_AT_ONCE]
+        for term, (values, posted) in enumerate(zip(terms, postings)):
+            rows = np.flatnonzero(few[:, term])
+            if 2 * len(posted) >= len(values):
+                # Nearly all have the term; adding nothing to the others is cheaper than leaving them out.
+                here += np.multiply(few[:, term, None], values, out=part[: len(few)])
+            elif len(posted) and len(rows):
+                here[np.ix_(rows, posted)] += few[rows, term, None] * values[posted]
     return scores if kind is object else scores.astype(np.int64)
 
 
