@@ -7,8 +7,9 @@ being good; their mean, weighted by the lengths of the lines, is the document's
 evidence, which a logistic curve turns into a score.
 
 Only the text is used. The field is trained on labelled documents of which each
-line takes its document's label; documents that hold both kinds are what the
-transitions and the averaging are for.
+line takes its document's label. Two of them in a row make one chain, so that labels
+change inside of chains as they do in documents that hold both kinds; those are what
+the transitions and the averaging are for.
 """
 
 from __future__ import annotations
@@ -18,12 +19,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-#: Training bounds: labelled documents fetched, and bytes of each that are fitted.
+from tallymill.llm.rows import column, packed, text_or_empty, unpacked
+from tallymill.session import written
+
+#: Training bounds: labelled documents, bytes of one of them, and bytes of all of them.
 TRAIN_DOCS = 3000
+TRAIN_TEXT_BYTES = 1 << 18
 TRAIN_BYTES = 1 << 23
+#: Weight of the squares of all parameters in what training maximises.
+PENALTY = 1.0
+#: Labelled texts that are joined to one chain for training.
+CHAIN_TEXTS = 2
 
 #: Score from which a document counts as good.
 THRESHOLD = 0.7
@@ -183,19 +191,24 @@ def feature_places(bins: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     return np.concatenate([own, before, after, np.full((len(own), 1), edge + 2)], axis=1)
 
 
-def marginals(good: np.ndarray, steps: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def marginals(
+    good: np.ndarray, steps: np.ndarray, per_text: np.ndarray, weight: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over many texts at once, each step for all texts that have such a line.
 
-    ``good`` has each line's score in favour of good. Returns the probability that
-    each line is good and the expected number of steps of each kind.
+    ``good`` has each line's score in favour of good. Returns the probability that each
+    line is good, the expected number of steps of each kind over all texts, each text
+    counted by its ``weight`` (1), and the logarithm of each text's partition sum.
     """
     order = np.argsort(-per_text, kind="stable")
     starts = (np.cumsum(per_text) - per_text)[order]
     lengths = per_text[order]
+    counted = np.ones(len(order)) if weight is None else weight[order]
     rounds = int(lengths[0]) if len(lengths) else 0
     active = np.searchsorted(-lengths, -np.arange(rounds), side="left")
     emit = np.stack([np.zeros_like(good), good], axis=1)
-    emit = np.exp(emit - emit.max(axis=1, keepdims=True))
+    top = emit.max(axis=1)
+    emit = np.exp(emit - top[:, None])
     move = np.exp(steps)
     forward, backward = np.empty_like(emit), np.ones_like(emit)
     scale = np.empty(len(good))
@@ -208,17 +221,46 @@ def marginals(good: np.ndarray, steps: np.ndarray, per_text: np.ndarray) -> tupl
     for t in range(rounds - 1, 0, -1):
         at = starts[: active[t]] + t
         onward = emit[at] * backward[at] / scale[at][:, None]
-        pairs += move * (forward[at - 1].T @ onward)
+        pairs += move * ((forward[at - 1] * counted[: active[t], None]).T @ onward)
         backward[at - 1] = onward @ move.T
     both = forward * backward
-    return both[:, 1] / both.sum(axis=1), pairs
+    log_sum = np.zeros(len(per_text))
+    if len(per_text):
+        log_sum = np.add.reduceat(np.log(scale) + top, np.cumsum(per_text) - per_text)
+    return both[:, 1] / both.sum(axis=1), pairs, log_sum
 
 
-def fit(texts: list[bytes], labels: list[int], rounds: int = 120, penalty: float = 2.0) -> Model:
-    """Train the field by gradient ascent on the likelihood of the lines' labels, then the curve.
+def likelihood(
+    weights: np.ndarray, steps: np.ndarray, places: np.ndarray, per_chain: np.ndarray, labels: np.ndarray, weight: np.ndarray,
+    penalty: float,
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """What training maximises, and its gradient by the weights and by the steps.
 
-    Without both kinds of label every text gets the share of good labels (0.5 for
-    none) as its score.
+    The sum over chains of ``weight`` times the log-likelihood of the labels of the
+    chain's lines, less ``penalty`` / 2 times the squares of all parameters.
+    """
+    good = weights[places].sum(axis=1)
+    p, expected, log_sum = marginals(good, steps, per_chain, weight)
+    by_line = np.repeat(weight, per_chain)
+    ends = np.zeros(len(labels), bool)
+    ends[np.cumsum(per_chain) - 1] = True
+    before = np.flatnonzero(~ends)
+    observed = np.zeros((2, 2))
+    np.add.at(observed, (labels[before].astype(int), labels[before + 1].astype(int)), by_line[before])
+    value = (by_line * labels * good).sum() + (observed * steps).sum() - (weight * log_sum).sum()
+    value -= penalty / 2 * ((weights**2).sum() + (steps**2).sum())
+    gap = np.repeat((labels - p) * by_line, places.shape[1])
+    return value, np.bincount(places.ravel(), gap, FEATURES) - penalty * weights, observed - expected - penalty * steps
+
+
+def fit(texts: list[bytes], labels: list[int], rounds: int = 120, penalty: float = PENALTY, chain_texts: int = CHAIN_TEXTS) -> Model:
+    """Train the field by gradient ascent on ``likelihood``, then the curve.
+
+    The lines of every ``chain_texts`` texts in a row make one chain, in which labels
+    change where texts of both kinds meet: that is what the steps are learnt from. The
+    features of a line stay those of its own text. Both kinds count the same, and
+    chains whatever their numbers of lines. Without both kinds of label every text gets
+    the share of good labels (0.5 for none) as its score.
     """
     share = float(np.mean(labels)) if labels else 0.5
     share = min(max(share, 0.001), 0.999)
@@ -226,31 +268,20 @@ def fit(texts: list[bytes], labels: list[int], rounds: int = 120, penalty: float
         return Model(np.zeros(FEATURES), np.zeros((2, 2)), 0.0, float(np.log(share / (1 - share))))
     bins, size, per_text = line_bins(texts)
     places = feature_places(bins, per_text)
-    label = np.repeat(np.array(labels, np.float64), per_text)
-    # Each text counts as much as any other of its kind, and both kinds count the same.
-    text_weight = np.where(np.array(labels) == 1, 0.5 / share, 0.5 / (1 - share))
-    line_weight = np.repeat(text_weight / np.maximum(per_text, 1), per_text)
+    kind = np.array(labels, np.float64)
+    chain = np.arange(len(texts)) // chain_texts
+    per_chain = np.bincount(chain, per_text).astype(np.int64)
+    weight = np.bincount(chain, np.where(kind == 1, 0.5 / share, 0.5 / (1 - share))) / per_chain
+    by_line = np.repeat(kind, per_text)
     weights, steps = np.zeros(FEATURES), np.zeros((2, 2))
     squares, step_squares = np.full(FEATURES, 1e-8), np.full((2, 2), 1e-8)
-    # A kind's steps are divided by its lines per text, as its lines are.
-    kinds = [(np.array(labels) == kind) for kind in (0, 1)]
-    step_weight = [text_weight[chosen][0] / max(per_text[chosen].mean(), 1) for chosen in kinds]
-    observed = np.diag([w * (per_text[chosen] - 1).sum() for w, chosen in zip(step_weight, kinds)])
     for _ in range(rounds):
-        good = weights[places].sum(axis=1)
-        p, _ = marginals(good, steps, per_text)
-        gap = (label - p) * line_weight
-        gradient = np.bincount(places.ravel(), np.repeat(gap, places.shape[1]), FEATURES) - penalty * weights / len(texts)
-        expected = sum(
-            w * marginals(good[np.repeat(chosen, per_text)], steps, per_text[chosen])[1]
-            for w, chosen in zip(step_weight, kinds)
-        )
-        step_gradient = observed - expected - penalty * steps
+        _, gradient, step_gradient = likelihood(weights, steps, places, per_chain, by_line, weight, penalty)
         squares += gradient**2
         step_squares += step_gradient**2
         weights += 0.3 * gradient / np.sqrt(squares)
-        steps += 0.1 * step_gradient / np.sqrt(step_squares)
-    return _with_curve(Model(weights, steps, 1.0, 0.0), bins, size, per_text, np.array(labels, np.float64))
+        steps += 0.3 * step_gradient / np.sqrt(step_squares)
+    return _with_curve(Model(weights, steps, 1.0, 0.0), bins, size, per_text, kind)
 
 
 def _with_curve(model: Model, bins: np.ndarray, size: np.ndarray, per_text: np.ndarray, labels: np.ndarray) -> Model:
@@ -273,7 +304,7 @@ def evidence(model: Model, bins: np.ndarray, size: np.ndarray, per_text: np.ndar
     if not len(per_text):
         return np.zeros(0)
     good = model.weights[feature_places(bins, per_text)].sum(axis=1)
-    p, _ = marginals(good, model.steps, per_text)
+    p, _, _ = marginals(good, model.steps, per_text)
     weight = np.maximum(size, 1.0)
     starts = np.cumsum(per_text) - per_text
     return np.add.reduceat(p * weight, starts) / np.add.reduceat(weight, starts)
@@ -300,16 +331,18 @@ def is_held_out(id_column: str = "doc_id") -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    label_column: str = "quality", max_docs: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES,
+    label_column: str = "quality", max_docs: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES, max_text_bytes: int = TRAIN_TEXT_BYTES,
 ) -> Model:
     """Fit on a bounded sample of the labelled documents that are not held out.
 
-    The sample is the ``max_docs`` labelled ids with the smallest hashes, less
-    texts beyond ``max_bytes`` in all. Labels that are null, or of null ids, are
-    left out; so are ids labelled both ways.
+    Of the ``max_docs`` labelled ids with the smallest hashes, those whose text is at
+    most ``max_text_bytes`` long, as many of them in the order of their hashes as make
+    up ``max_bytes`` together. Longer texts take no part, and none that is left out
+    keeps others out. Labels that are null, or of null ids, are left out; so are ids
+    labelled both ways.
     """
     known = (
-        labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
+        labels.select(column(id_column).alias("id"), column(label_column).cast("int").alias("label"))
         .filter(F.col("id").isNotNull() & F.col("label").isin(0, 1))
         .filter(~is_held_out("id"))
         .groupBy("id")
@@ -319,36 +352,30 @@ def train(
         .limit(max_docs)
         .select("id", "label")
     )
-    texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    # At most max_docs small rows are broadcast. A repeated id counts once.
-    rows = (
-        texts.join(F.broadcast(known), "id")
+    texts = docs.select(column(id_column).alias("id"), text_or_empty(text_column).alias("text"))
+    # At most max_docs small rows are broadcast, and as many bounded texts are written. A repeated id counts once.
+    found = (
+        texts.filter(F.octet_length("text") <= max_text_bytes)
+        .join(F.broadcast(known), "id")
         .groupBy("id")
-        .agg(F.min(F.struct("text", "label")).alias("row"))
-        .select("id", "row.text", "row.label", F.sum(F.octet_length("row.text")).over(_by_hash()).alias("upto"))
-        .filter(F.col("upto") <= max_bytes)
-        .orderBy(F.xxhash64("id"), "id")
-        .toPandas()
+        .agg(F.min("text").alias("text"), F.first("label").alias("label"))
     )
+    found = written(found, "labelled")
+    in_order = W.partitionBy(F.lit(0)).orderBy(F.xxhash64("id"), "id").rowsBetween(W.unboundedPreceding, 0)
+    chosen = found.select("id", F.sum(F.octet_length("text")).over(in_order).alias("upto")).filter(F.col("upto") <= max_bytes)
+    rows = found.join(F.broadcast(chosen.select("id")), "id").orderBy(F.xxhash64("id"), "id").toPandas()
     return fit([t.encode() for t in rows["text"]], [int(x) for x in rows["label"]])
 
 
-def _by_hash():
-    from pyspark.sql import Window
-
-    # At most max_docs rows reach this window.
-    return Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
-
-
-def scored(docs: DataFrame, model: Model, text_column: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the score of each row's whole text in a new column. Null texts count as empty."""
+def scored(texts: DataFrame, model: Model, text_column: str = "text", name: str = "score") -> DataFrame:
+    """``texts`` with the score of each row's whole text in a new column. Null texts count as empty."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series(scores(model, [t.encode() for t in batch]), index=batch.index, dtype=float)
 
-    return docs.withColumn(name, score(F.coalesce(F.col(text_column), F.lit(""))))
+    return texts.withColumn(name, score(F.coalesce(F.col(text_column), F.lit(""))))
 
 
 def quality(
@@ -362,18 +389,19 @@ def quality(
     good labels. Other columns are ignored whatever their names.
     """
     model = train(docs, labels, id_column, text_column)
-    chosen = docs.select(F.col(id_column), F.col(text_column).alias("_text"))
-    return scored(chosen, model, "_text", "_score").select(
-        id_column,
-        is_held_out(id_column).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= threshold).cast("int").alias("predicted"),
+    chosen = docs.select(column(id_column).alias("id"), column(text_column).alias("text"))
+    return scored(chosen, model).select(
+        F.col("id").alias(id_column),
+        is_held_out("id").alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
 def keep_good(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, columns unchanged."""
+    """The rows of ``docs`` whose score reaches the threshold, columns unchanged whatever their names."""
     model = train(docs, labels, id_column, text_column)
-    return scored(docs, model, text_column, "_score").filter(F.col("_score") >= threshold).select(docs.columns)
+    rows = scored(packed(docs, text=column(text_column)), model)
+    return unpacked(rows.filter(F.col("score") >= threshold), docs.columns)

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tallymill.llm.rows import column, packed, row_digest, unpacked
 from tallymill.session import written
 
 SEED = 20_240_229
@@ -240,7 +241,8 @@ def mixed(
 ) -> DataFrame:
     """Every document with its place in the mix.
 
-    Columns ``id``, ``text_hash``, ``source``, ``size``, ``source_size``,
+    Columns ``id``, ``a`` and ``b`` (digests of all columns of the row), ``start``
+    (its first word among those of its source), ``size``, ``source_size``,
     ``target`` and ``pieces``, an array (null for size 0) of the pieces taken:
     ``epoch``, ``block``, ``shard``, ``place`` (its order in the shard) and the
     words ``from_word`` (from 0) to ``to_word``.
@@ -248,14 +250,16 @@ def mixed(
     Null and empty texts have size 0, and nothing of them is taken. Null is a
     source like any other, in last place. Rows that are equal are laid side by
     side and taken each on its own account. An empty table gives an empty one.
-    Other columns are ignored whatever their names.
+    Other columns, whatever their names, only tell rows apart.
     """
     sized = docs.select(
-        F.col(id_column).alias("id"),
-        F.col(source_column).alias("source"),
+        column(id_column).alias("id"),
+        column(source_column).alias("source"),
         _sized(text_column).alias("size"),
-        F.xxhash64(F.lit(0), F.col(text_column)).alias("text_hash"),
+        F.xxhash64(F.lit(0), column(text_column)).alias("text_hash"),
+        row_digest(docs).alias("digest"),
     )
+    sized = sized.select("*", "digest.*").drop("digest")
     row = F.xxhash64(F.lit(seed), F.col("id"), F.col("text_hash"))
     sized = sized.withColumns(
         {
@@ -282,10 +286,10 @@ def mixed(
     per_source = targets.join(starts, "_no")
     per_range = offsets.select("_key", "_range", "_offset").join(per_source, "_key")
     here = sized.join(per_range, ["_key", "_range"])
-    in_range = W.partitionBy("_key", "_range").orderBy("_row", "id", "size").rowsBetween(W.unboundedPreceding, -1)
+    in_range = W.partitionBy("_key", "_range").orderBy("_row", "id", "size", "a", "b").rowsBetween(W.unboundedPreceding, -1)
     here = here.withColumn("_start", F.col("_offset") + F.coalesce(F.sum("size").over(in_range), F.lit(0)))
     return here.select(
-        "id", "text_hash", "source", "size", "source_size", "target", _pieces(seed).alias("pieces")
+        "id", "a", "b", F.col("_start").alias("start"), "size", "source_size", "target", _pieces(seed).alias("pieces")
     )
 
 
@@ -321,8 +325,11 @@ def _pieces(seed: int) -> Column:
                 .when(rank == quota, low + F.round(F.col("_part") * (high - low)).cast("long"))
                 .otherwise(low)
             )
-            counted = F.least(rank, F.greatest(quota - 1, F.lit(0)))
-            shard = F.element_at(F.filter("_shards", lambda s: s["first"] <= counted), -1)["shard"]
+            # A source's part of a block goes to a shard of its own choice, so that no shard gets all of them.
+            any_shard = (F.pmod(F.xxhash64(F.lit(seed), F.col("_no")), F.size("_shards")) + 1).cast("int")
+            shard = F.when(
+                rank < quota, F.element_at(F.filter("_shards", lambda s: s["first"] <= rank), -1)["shard"]
+            ).otherwise(F.element_at("_shards", any_shard)["shard"])
             return F.struct(
                 F.lit(epoch).alias("epoch"),
                 block.alias("block"),
@@ -343,52 +350,56 @@ def _pieces(seed: int) -> Column:
 def mixture(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options
 ) -> DataFrame:
-    """(id, ``size``, ``source_size``, ``target``, ``taken``) of every row; see ``mixed``.
+    """(id, ``size``, ``source_size``, ``target``, ``taken``, ``shards``) of every row; see ``mixed``.
 
-    ``taken`` is the number of words that the mix takes of the row, repeats counted.
+    ``taken`` is the number of words that the mix takes of the row, repeats counted, and
+    ``shards`` has the words of it that each shard gets.
     """
-    taken = F.coalesce(
-        F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["to_word"] - p["from_word"]), F.lit(0)
+    words = lambda p: p["to_word"] - p["from_word"]
+    add_up = lambda pieces: F.aggregate(pieces, F.lit(0).cast("long"), lambda n, p: n + words(p))
+    shards = F.transform(
+        F.array_sort(F.array_distinct(F.transform(F.col("pieces"), lambda p: p["shard"]))),
+        lambda shard: F.struct(shard.alias("shard"), add_up(F.filter(F.col("pieces"), lambda p: p["shard"] == shard)).alias("words")),
     )
     return mixed(docs, id_column, text_column, source_column, **options).select(
-        F.col("id").alias(id_column), "size", "source_size", "target", taken.alias("taken")
+        F.col("id").alias(id_column), "size", "source_size", "target",
+        F.coalesce(add_up(F.col("pieces")), F.lit(0)).alias("taken"),
+        F.coalesce(shards, F.array().cast("array<struct<shard:int,words:bigint>>")).alias("shards"),
     )
 
 
 def take(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options
 ) -> DataFrame:
-    """The mix itself: a row with the columns of ``docs`` for each document and round taken, in part or whole.
+    """The mix itself: a row with the columns of ``docs`` for each document, round and shard that takes some of it.
 
     The text of a row that is taken whole is unchanged; of others, the words taken
-    with the white space after each. Rows are ordered at random within a shard, and
-    every shard is one range of the result.
+    with the white space before each. Every shard gets the words that the tree gives it.
+    Rows are ordered at random within a shard, and every shard is one range of the
+    result. Rows equal in all columns are taken each on its own account.
     """
     placed = mixed(docs, id_column, text_column, source_column, **options)
-    rounds = placed.select("id", "text_hash", "source", "size", F.explode("pieces").alias("p")).groupBy(
-        "id", "text_hash", "source", "size", "p.epoch"
-    ).agg(
-        F.min("p.shard").alias("_shard"),
-        F.min("p.place").alias("_place"),
-        F.sort_array(F.collect_set(F.struct("p.from_word", "p.to_word"))).alias("_spans"),
+    spans = F.sort_array(F.collect_list(F.struct("p.from_word", "p.to_word"))).alias("spans")
+    rounds = (
+        placed.select("a", "b", "start", "size", F.explode_outer("pieces").alias("p"))
+        .groupBy("a", "b", "start", "size", "p.epoch", "p.shard")
+        .agg(F.min("p.place").alias("place"), spans)
     )
-    marked = docs.withColumn("_hash", F.xxhash64(F.lit(0), F.col(text_column)))
-    rounds = rounds.withColumnsRenamed({"id": "_id", "source": "_source", "text_hash": "_text_hash", "size": "_size"})
-    rows = marked.join(
-        rounds,
-        F.col(id_column).eqNullSafe(F.col("_id"))
-        & (F.col("_hash") == F.col("_text_hash"))
-        & F.col(source_column).eqNullSafe(F.col("_source")),
-    )
-    words = F.regexp_extract_all(F.col(text_column), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    rounds = written(rounds, "taken")
+    key = ["a", "b"]
+    rows = packed(docs, digest=row_digest(docs), text=column(text_column)).select("row", "text", "digest.*")
+    # Of equal rows, which have a start each, one goes in: each of its starts gives rows of its own.
+    again = rounds.groupBy(*key).agg(F.min("start").alias("low"), F.max("start").alias("high")).filter("low < high").select(*key)
+    if not again.isEmpty():
+        rows = rows.join(again, key, "left_anti").unionByName(rows.join(again, key, "left_semi").dropDuplicates(key))
+    met = rows.join(rounds.filter("shard IS NOT NULL"), key)
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     parts = F.transform(
-        F.col("_spans"), lambda s: F.array_join(F.slice(words, (s["from_word"] + 1).cast("int"), (s["to_word"] - s["from_word"]).cast("int")), "")
+        F.col("spans"), lambda s: F.array_join(F.slice(words, (s["from_word"] + 1).cast("int"), (s["to_word"] - s["from_word"]).cast("int")), "")
     )
-    whole = F.aggregate(
-        "_spans", F.lit(0).cast("long"), lambda n, s: n + s["to_word"] - s["from_word"]
-    ) >= F.col("_size")
-    text = F.when(whole, F.col(text_column)).otherwise(F.array_join(parts, ""))
-    result = rows.withColumn(text_column, text)
+    whole = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to_word"] - s["from_word"]) >= F.col("size")
+    result = met.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(parts, "")))
+    changed = {text_column: F.col("text")}
     if "n_chars" in docs.columns:
-        result = result.withColumn("n_chars", F.length(text_column).cast(docs.schema["n_chars"].dataType))
-    return result.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place").select(docs.columns)
+        changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return unpacked(result.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place"), docs.columns, **changed)

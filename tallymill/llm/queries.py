@@ -38,7 +38,8 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, distance=2)
+    found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, distance=2)
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 @query("op4_html_text")

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymill.llm.components import components
+from tallymill.llm.rows import column, digest, packed, text_or_empty, unpacked
 from tallymill.session import written
 
 BITS = 64
@@ -69,16 +70,21 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 def fingerprints(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
-    """(id, ``bits``): the fingerprint of each row as a signed 64-bit integer. Null texts count as empty."""
-    chosen = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    """(id, ``digest``, ``bits``): of each row a digest of the text and its fingerprint as a signed 64-bit integer.
+
+    Null texts count as empty.
+    """
+    text = text_or_empty(text_column)
+    chosen = docs.select(column(id_column).alias("id"), digest(text).alias("digest"), text.alias("text"))
     id_type = chosen.schema["id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(bits.view(np.int64))], names=["id", "bits"])
+            columns = [batch.column("id"), batch.column("digest"), pa.array(bits.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "bits"])
 
-    return chosen.mapInArrow(hashed, f"id {id_type}, bits long")
+    return chosen.mapInArrow(hashed, f"id {id_type}, digest binary, bits long")
 
 
 def correlations(distinct: DataFrame) -> np.ndarray:
@@ -248,41 +254,48 @@ def near_duplicates(
     parts: int = PARTS,
     dense: int = DENSE,
 ) -> DataFrame:
-    """(id, ``fingerprint``, ``component_id``) of every row.
+    """(id, ``fingerprint``, ``component_id``, ``text_digest``, ``stays``) of every row.
 
     ``component_id`` is the smallest id among the rows whose fingerprints are
-    linked, directly or through others, the row's own included. Null and empty
-    texts have fingerprint zero and are linked like any other. Rows with a null id
-    are linked but never name a component; one that reaches no id has null.
-    Repeated rows each give their row, an empty table gives none, and other
-    columns are ignored whatever their names.
+    linked, directly or through others, the row's own included. ``stays`` marks the
+    row that stands for the component: that of the smallest id, null after all others,
+    and of several such rows the one with the least digest of its text; rows that are
+    equal in both are marked alike. Null and empty texts have fingerprint zero and are
+    linked like any other. Rows with a null id are linked but never name a component;
+    one that reaches no id has null. Repeated rows each give their row, an empty table
+    gives none, and other columns are ignored whatever their names.
     """
     hashed = written(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
-    distinct = written(hashed.groupBy("bits").agg(F.min("id").alias("first")), "distinct-fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest")).alias("first")
+    distinct = written(hashed.groupBy("bits").agg(first), "distinct-fingerprints")
     linked = components(links(distinct, distance, parts, dense), "a", "b")
     member = distinct.join(linked, distinct["bits"] == linked["node"], "left").select(
         "bits", "first", F.coalesce("component", "bits").alias("component")
     )
-    smallest = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = member.join(smallest, "component").select("bits", "component_id")
+    smallest = member.groupBy("component").agg(F.min("first").alias("least"))
+    named = member.join(smallest, "component").select("bits", F.col("least.id").alias("component_id"), F.col("least.digest").alias("least"))
     return hashed.join(named, "bits").select(
         F.col("id").alias(id_column),
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         "component_id",
+        F.col("digest").alias("text_digest"),
+        (F.col("id").eqNullSafe(F.col("component_id")) & (F.col("digest") == F.col("least"))).alias("stays"),
     )
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """``docs`` less all but one row of each group of ``near_duplicates``.
+def keep_one(docs: DataFrame, groups: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` less all but one row of each component of ``near_duplicates``, columns unchanged.
 
-    The row whose id names the component stays; if that id repeats, one of its
-    rows does. Rows with a null id cannot be named and stay.
+    Rows are told apart by id and text, so rows that share an id stay or go each on
+    its own account. Of equal ones that would all stay, one does.
     """
-    others = groups.filter(F.col(id_column) != F.col("component_id")).select(id_column).distinct()
-    kept = docs.join(others, id_column, "left_anti").select(docs.columns)
-    again = groups.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n")).filter(
-        (F.col("_n") > 1) & F.col(id_column).isNotNull()
-    )
-    again = written(again.select(id_column), "repeated-ids")
-    once = kept.join(again, id_column, "left_anti").select(docs.columns)
-    return once.unionByName(kept.join(again, id_column, "left_semi").select(docs.columns).dropDuplicates([id_column]))
+    key = ["id", "digest"]
+    rows = packed(docs, id=column(id_column), digest=digest(text_or_empty(text_column)))
+    marked = groups.select(column(id_column).alias("_id"), F.col("text_digest").alias("_digest"), "stays")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    kept = rows.join(marked.filter(~F.col("stays")).distinct(), same, "left_anti")
+    again = written(marked.filter("stays").groupBy("_id", "_digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated-rows")
+    if not again.isEmpty():
+        first = kept.join(again, same, "left_semi").dropDuplicates(key)
+        kept = kept.join(again, same, "left_anti").unionByName(first)
+    return unpacked(kept, docs.columns)

@@ -7,15 +7,15 @@ whose anchors have the same hash. Neighbouring windows of one anchor make up a
 passage, at most twice as long as a window.
 
 1. Anchors are counted; those that occur once are dropped, and most text with them.
-2. Passages are compared by their hashes. A passage that occurs again as a whole
-   is repeated in all its windows.
-3. Where one anchor has several different passages, the distinct ones are brought
-   together, joined into strings, and sorted into suffix arrays by grouping
-   (``suffix_grouping``). Symbols are words, ranked by their bytes, so that word and
-   byte order agree; windows that start inside a word follow from the rank of the
-   suffix behind it. Bytes decide which windows are equal.
+2. Of each different passage that shares its anchor one occurrence is cut from its
+   text, and a second one, from elsewhere, if it occurs again. (Passages are told
+   apart by 128 bits of hash: n of them meet by chance with odds of n^2 to 2^129.)
+3. The passages of an anchor are brought together, joined into strings, and sorted
+   into suffix arrays by grouping (``suffix_grouping``). Symbols are words, ranked by
+   their bytes, so that word and byte order agree; windows that start inside a word
+   follow from the rank of the suffix behind it. Bytes decide which windows are equal.
 4. An anchor with very many different passages is not brought together: its windows
-   are counted one by one, with partial counts in every task.
+   are counted one by one, with partial counts in every task, by 128 bits of hash.
 5. The repeated windows of each text are united and cut out.
 """
 
@@ -28,8 +28,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tallymill.llm.rows import column, digest, packed, text_or_empty, unpacked
 from tallymill.llm.suffix_grouping import suffix_array
 from tallymill.session import written
 
@@ -196,9 +197,9 @@ def ranges(flags: np.ndarray) -> list[int]:
 
 
 def _identified(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Rows by their id and a hash of the text, so that rows that share an id stay apart."""
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    return docs.select(F.col(id_column).alias("id"), F.hash(text).alias("h"), text.alias("text"))
+    """Rows by their id and a digest of the text, so that rows that share an id, or have none, stay apart."""
+    text = text_or_empty(text_column)
+    return docs.select(column(id_column).alias("id"), digest(text).alias("h"), text.alias("text"))
 
 
 def _anchor_counts(rows: DataFrame, length: int) -> DataFrame:
@@ -245,7 +246,7 @@ def _occurrences(rows: DataFrame, length: int) -> DataFrame:
                 names=["id", "h", "key", "content", "windows", "starts"],
             )
 
-    schema = f"id {id_type}, h int, key long, content long, windows int, starts binary"
+    schema = f"id {id_type}, h binary, key long, content long, windows int, starts binary"
     return rows.filter(F.octet_length("text") >= length).mapInArrow(find, schema)
 
 
@@ -296,7 +297,12 @@ def _sorted_out(bodies: DataFrame, length: int) -> DataFrame:
 
     def found(waiting: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         flags = repeated_windows([body for _, _, body in waiting], length)
-        rows = [(key, content, ranges(f)) for (key, content, _), f in zip(waiting, flags) if f.any()]
+        # The two occurrences of a passage have one verdict.
+        united: dict[tuple[int, int], np.ndarray] = {}
+        for (key, content, _), f in zip(waiting, flags):
+            other = united.get((key, content))
+            united[key, content] = f if other is None or len(other) != len(f) else f | other
+        rows = [(key, content, ranges(f)) for (key, content), f in united.items() if f.any()]
         columns = list(zip(*rows)) if rows else [(), (), ()]
         types = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "content", "ranges"])
@@ -329,34 +335,38 @@ def _removals(rows: DataFrame, length: int, crowd: int) -> DataFrame:
     anchors = _anchor_counts(rows, length)
     occurrences = written(_occurrences(rows, length).join(anchors, "key"), "passages")
     places = F.octet_length("starts") / 4
+    place = F.struct("id", "h", "starts")
     distinct = written(
         occurrences.groupBy("key", "content").agg(
-            F.sum(places).cast("long").alias("n"), F.min("windows").alias("windows"), F.min(F.struct("id", "h", "starts")).alias("at")
+            F.sum(places).cast("long").alias("n"), F.min("windows").alias("windows"), F.min(place).alias("at"), F.max(place).alias("to")
         ),
         "distinct-passages",
     )
-    kinds = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    unclear = distinct.join(kinds, "key").select("key", "content", "windows", "at.id", "at.h", "at.starts", "kinds")
-    start = _first_start("starts")
+    kinds = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
+    unclear = distinct.join(kinds.withColumnRenamed("kinds", "n_kinds"), "key").filter("n > 1 OR n_kinds > 1")
+    # The first occurrence, and the last one where there are several.
+    cuts = F.array(
+        F.struct("at.id", "at.h", _start(F.substring("at.starts", 1, 4)).alias("start")),
+        F.when(F.col("n") > 1, F.struct("to.id", "to.h", _start(F.substring("to.starts", -4, 4)).alias("start"))),
+    )
+    wanted = unclear.select("key", "content", "windows", F.explode(F.array_compact(cuts)).alias("cut"))
     bodies = written(
-        _bodies(rows, unclear.select("key", "content", "windows", "id", "h", start.alias("start")), length)
+        _bodies(rows, wanted.select("key", "content", "windows", "cut.id", "cut.h", "cut.start"), length)
         .join(kinds.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"))
         .select("key", "content", "body", "kinds"),
         "bodies",
     )
-    partly = _sorted_out(bodies.filter(F.col("kinds") <= crowd), length).unionByName(
+    verdicts = _sorted_out(bodies.filter(F.col("kinds") <= crowd), length).unionByName(
         _counted_out(bodies.filter(F.col("kinds") > crowd), length)
     )
-    again = distinct.filter("n > 1").select("key", "content", F.array(F.lit(0), F.col("windows")).alias("ranges"))
-    once = distinct.filter("n = 1").select("key", "content")
-    verdicts = written(again.unionByName(partly.join(once, ["key", "content"], "left_semi")), "verdicts")
+    verdicts = written(verdicts, "verdicts")
     marked = occurrences.join(verdicts, ["key", "content"]).select("id", "h", F.struct("starts", "ranges").alias("mark"))
     return marked.groupBy("id", "h").agg(F.collect_list("mark").alias("marks"))
 
 
-def _first_start(column: str):
-    """The first 32-bit little-endian integer of a binary column."""
-    byte = lambda i: F.conv(F.hex(F.substring(column, i, 1)), 16, 10).cast("int")
+def _start(four_bytes: Column) -> Column:
+    """A 32-bit little-endian integer."""
+    byte = lambda i: F.conv(F.hex(F.substring(four_bytes, i, 1)), 16, 10).cast("int")
     return byte(1) + byte(2) * 256 + byte(3) * 65536 + byte(4) * 16777216
 
 
@@ -424,16 +434,17 @@ def removed(
 def without_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH, crowd: int = CROWD
 ) -> DataFrame:
-    """``docs`` with the repeated strings cut out of the texts; rows and columns stay.
+    """``docs`` with the repeated strings cut out of the texts; rows and columns stay, whatever the columns' names.
 
     A character of which only some bytes are left is dropped. ``n_chars``, where
     there is such a column, is the new length. Null texts stay null.
     """
     marks = _removals(_identified(docs, id_column, text_column), length, crowd).withColumnsRenamed({"id": "_id", "h": "_h"})
-    here = docs.withColumn("_text_hash", F.hash(F.coalesce(F.col(text_column), F.lit(""))))
-    joined = here.join(marks, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_h")), "left")
+    rows = packed(docs, id=column(id_column), h=digest(text_or_empty(text_column)), text=column(text_column))
+    joined = rows.join(marks, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
 
-    def cut(batches):
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, marks in batches:
             yield pa.array(
                 [
@@ -444,10 +455,8 @@ def without_repeats(
                 pa.string(),
             )
 
-    def typed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        yield from cut(batches)
-
-    result = joined.withColumn(text_column, F.arrow_udf(typed, "string")(F.col(text_column), F.col("marks")))
+    result = joined.select("row", cut(F.col("text"), F.col("marks")).alias("text"))
+    changed = {text_column: F.col("text")}
     if "n_chars" in docs.columns:
-        result = result.withColumn("n_chars", F.length(text_column).cast(docs.schema["n_chars"].dataType))
-    return result.select(docs.columns)
+        changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return unpacked(result, docs.columns, **changed)

@@ -1,4 +1,5 @@
-"""Suffix sorting by grouping: linear time, without renaming the symbols.
+"""Suffix sorting by grouping, without renaming the symbols. All steps are linear but for
+sorting the first symbols, and the places of a group's members, by the language's own sort.
 
 First phase: suffixes are grouped by their first symbol, then the groups are
 processed in descending order. When a group is processed, each of its suffixes
@@ -71,11 +72,13 @@ def _lyndon_groups(symbols: np.ndarray) -> tuple[list[int], list[int]]:
                 previous[suffix] = p
                 if p >= 0:
                     times[p] = times.get(p, 0) + 1
-            for often in sorted(set(times.values()), reverse=True):
+            by_times: dict[int, list[int]] = {}
+            for p, n_times in times.items():
+                by_times.setdefault(n_times, []).append(p)
+            for often in sorted(by_times, reverse=True):
                 together: dict[int, list[int]] = {}
-                for p, n_times in times.items():
-                    if n_times == often:
-                        together.setdefault(group[p], []).append(p)
+                for p in by_times[often]:
+                    together.setdefault(group[p], []).append(p)
                 for old, moved in together.items():
                     left = size[old] - len(moved)
                     if left:

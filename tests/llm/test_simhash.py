@@ -92,7 +92,7 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
     assert found(simhash.near_duplicates(docs)) == expected([(a, b) for a, b, _ in rows])
     kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 3, 4, None, None]
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 3, 4, None]
     assert kept.columns == docs.columns
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
 
@@ -105,3 +105,18 @@ def test_thresholds_keep_the_pigeonhole_sum():
         assert sorted(sum(groups, [])) == list(range(64))
         counts = draw.integers(0, 50, (parts, 1 << simhash.HISTOGRAM_BITS))
         assert (simhash.thresholds(bits, groups, counts, 2).sum(axis=1) == 2 - parts + 1).all()
+
+
+def test_one_row_of_each_component_stays(spark):
+    a, b, c = "one two three four five six", "quite another text with other words", "and a third one of its own"
+    rows = [
+        (3, a, 0, 1), (5, a, 0, 2), (5, b, 0, 3), (9, c, 0, 4), (9, c, 0, 4), (9, c, 0, 5), (None, a, 0, 6), (None, "no id has this text", 0, 7),
+        (None, "no id has this text", 0, 8), (11, None, 0, 9), (12, "", 0, 10),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest int, stays int").repartition(4)
+    kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(3, a), (5, b), (9, c), (None, "no id has this text"), (11, None)], key=repr
+    )
+    assert simhash.keep_one(docs.limit(0), simhash.near_duplicates(docs.limit(0))).collect() == []

@@ -70,6 +70,35 @@ def test_cut_texts(spark):
     assert suffix_dedup.removed(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("ids", [(7, 7, 8), (None, None, None), (7, 7, 7)])
+def test_rows_of_one_id_and_equal_short_hashes_stay_apart(spark, ids):
+    from pyspark.sql import functions as F
+
+    # Two texts of equal 32-bit hash, found among many that differ in one number.
+    draw = random.Random(3)
+    fill = "".join(draw.choice("abcdefgh ") for _ in range(240))
+    many = spark.range(0, 400_000, 1, 8).select("id", F.hash(F.concat(F.lit(fill), F.col("id").cast("string"))).alias("h"))
+    low, high = many.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").orderBy("a").select("a", "b").first()
+    # What differs comes first, so that the texts share no window.
+    a, b = (f"{n}" .zfill(8).translate(str.maketrans("0123456789", "ABCDEFGHIJ")) * 32 for n in (low, high))
+    rows = [(ids[0], a), (ids[1], b), (ids[2], a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(suffix_dedup.removed(docs)) == plain([(i, t.encode()) for i, t in rows])
+    collided = [(ids[0], fill + str(low)), (ids[1], "".join(reversed(fill)) + str(high)), (ids[2], fill + str(low))]
+    docs = spark.createDataFrame(collided, "doc_id long, text string")
+    assert found(suffix_dedup.removed(docs)) == plain([(i, t.encode()) for i, t in collided])
+
+
+def test_clashing_columns_come_back_unchanged(spark):
+    text = "some words that are said twice " * 9
+    rows = [(1, text, 5, "a", [1], "x"), (2, text, 6, "b", None, None), (3, None, 7, "c", [2], "y"), (4, "short", 8, "d", [3], "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, marks int, _h string, id array<int>, row string")
+    kept = suffix_dedup.without_repeats(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r[:1] + r[2:] for r in map(tuple, kept.collect())) == [r[:1] + r[2:] for r in rows]
+    assert {r.doc_id: r.text for r in kept.collect()} == {1: "", 2: "", 3: None, 4: "short"}
+
+
 def test_suffix_arrays():
     draw = random.Random(1)
     for _ in range(600):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -203,10 +204,119 @@ def test_marginals_equal_all_labellings():
     draw = np.random.default_rng(3)
     lengths = np.array([3, 1, 6, 4, 1])
     good, steps = draw.normal(size=lengths.sum()) * 2, draw.normal(size=(2, 2))
-    found, _ = line_quality.marginals(good, steps, lengths)
+    found, _, log_sum = line_quality.marginals(good, steps, lengths)
     ends = np.cumsum(lengths)
-    for n, end in zip(lengths, ends):
-        assert np.allclose(found[end - n : end], plain_marginals(good[end - n : end], steps))
+    for text, (n, end) in enumerate(zip(lengths, ends)):
+        part = good[end - n : end]
+        assert np.allclose(found[end - n : end], plain_marginals(part, steps))
+        from itertools import product
+
+        each = [sum(g for g, y in zip(part, labels) if y) + sum(steps[a, b] for a, b in zip(labels, labels[1:])) for labels in product((0, 1), repeat=n)]
+        assert np.isclose(log_sum[text], np.log(np.exp(each).sum()))
+
+
+def test_the_gradient_is_that_of_the_likelihood(texts):
+    draw = np.random.default_rng(5)
+    bins, _, per_text = line_quality.line_bins([t.encode()[:4000] for t in list(texts.values())[:12]])
+    places = line_quality.feature_places(bins, per_text)
+    chains = per_text.reshape(6, 2).sum(axis=1)
+    labels = draw.integers(0, 2, per_text.sum()).astype(float)
+    weight = draw.random(6)
+    point, steps = draw.normal(size=line_quality.FEATURES) * 0.2, draw.normal(size=(2, 2))
+    at = lambda w, s: line_quality.likelihood(w, s, places, chains, labels, weight, 0.7)
+    _, gradient, step_gradient = at(point, steps)
+    for place in [*np.unique(places)[::9], line_quality.FEATURES - 1]:
+        change = np.zeros_like(point)
+        change[place] = 1e-5
+        assert np.isclose((at(point + change, steps)[0] - at(point - change, steps)[0]) / 2e-5, gradient[place], atol=1e-4)
+    for place in range(4):
+        change = np.zeros(4)
+        change[place] = 1e-5
+        change = change.reshape(2, 2)
+        assert np.isclose((at(point, steps + change)[0] - at(point, steps - change)[0]) / 2e-5, step_gradient.flat[place], atol=1e-4)
+
+
+def plain_bins(text):
+    """The measures of a text's lines, line by line, and where each lies among its edges."""
+    from bisect import bisect_right
+
+    seen, rows = set(), []
+    for line in text.split(b"\n"):
+        words = re.findall(rb"[^ \t\n\r\x0b\x0c]+", line)
+        chars = max(sum(not 0x80 <= b < 0xC0 for b in line), 1)
+        share = lambda found: sum(b in found for b in line) / chars
+        symbols = set(range(0x21, 0x7F)) - set(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789.,;:?'\"()-")
+        each = max(len(words), 1)
+        key = tuple(sorted(words))
+        measures = {
+            "bytes": len(line), "words": len(words), "upper": share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "digit": share(b"0123456789"),
+            "symbol": share(symbols), "stop": share(b".,;:?"), "wide": share(range(0xC0, 0x100)),
+            "word_length": sum(not 0x80 <= b < 0xC0 for w in words for b in w) / each,
+            "marked_words": sum(len(w) > 1 and w[-1] in symbols for w in words) / each,
+            "bare_symbols": sum(len(w) == 1 and w[0] in symbols for w in words) / each,
+            "same_as_last": sum(a == b for a, b in zip(words, words[1:])) / each,
+            "distinct": len(set(words)) / each, "seen_before": float(bool(words) and key in seen),
+        }
+        seen.add(key)
+        rows.append([bisect_right(line_quality._EDGES[name], value) for name, value in measures.items()])
+    return rows
+
+
+def test_line_features_equal_counting_line_by_line(texts):
+    every = [t.encode() for t in list(texts.values())[::5]]
+    every += [b"", b"\n\n", "Été !\nété ! é\n\n 12 # ab# \n#".encode(), b"a a a b\nb a a a\n(x) 'y'\tz\x01"]
+    bins, size, per_text = line_quality.line_bins(every)
+    assert size.tolist() == [len(line) for t in every for line in t.split(b"\n")]
+    assert per_text.tolist() == [t.count(b"\n") + 1 for t in every]
+    assert bins.tolist() == [row for t in every for row in plain_bins(t)]
+    own = line_quality.feature_places(bins, per_text)
+    assert own.shape[1] == 3 * bins.shape[1] + 1 and own.max() < line_quality.FEATURES
+
+
+@pytest.fixture(scope="module")
+def labelled_texts():
+    import duckdb
+    import zlib
+
+    folder = SMALL.replace("sf0.001", "sf0.1")
+    rows = duckdb.sql(
+        f"SELECT d.doc_id, text, quality FROM '{folder}/documents.parquet' d JOIN '{folder}/labels.parquet' l ON d.doc_id = l.doc_id ORDER BY sha256(CAST(d.doc_id AS VARCHAR))"
+    ).fetchall()
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    return [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2][:2000], held
+
+
+def test_the_chain_tells_lines_of_mixed_texts_better_than_lines_alone(labelled_texts):
+    known, held = labelled_texts
+    model = line_quality.fit([t.encode() for _, t, _ in known], [y for *_, y in known])
+    alone = line_quality.Model(model.weights, np.zeros((2, 2)), model.slope, model.offset)
+    draw = random.Random(1)
+    kinds = [[t.split("\n") for _, t, y in held if y == kind and t.count("\n") >= 3] for kind in (0, 1)]
+    mixed = []
+    for _ in range(400):
+        halves = [[(line, kind) for line in draw.choice(kinds[kind])[: draw.randrange(2, 12)]] for kind in (0, 1)]
+        mixed.append(sum(halves if draw.random() < 0.5 else halves[::-1], []))
+    bins, _, per_text = line_quality.line_bins(["\n".join(line for line, _ in m).encode() for m in mixed])
+    places, truth = line_quality.feature_places(bins, per_text), np.array([kind for m in mixed for _, kind in m])
+    right = [
+        np.mean((line_quality.marginals(m.weights[places].sum(axis=1), m.steps, per_text)[0] > 0.5) == truth) for m in (model, alone)
+    ]
+    assert right[0] > 0.94 and right[0] > right[1] + 0.003
+    scores = line_quality.scores(model, [t.encode() for _, t, _ in held])
+    assert np.mean((scores >= 0.7) == np.array([y for *_, y in held])) > 0.99
+
+
+def test_a_very_long_labelled_text_keeps_no_other_out(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality")
+    before = line_quality.train(docs, labels)
+    ids = list(range(2_000_000, 2_000_030))
+    long = spark.createDataFrame([(i, "word " * 60_000) for i in ids], "doc_id long, text string")
+    more = labels.unionByName(spark.createDataFrame([(i, 1) for i in ids], labels.schema))
+    after = line_quality.train(docs.unionByName(long), more)
+    assert np.array_equal(before.weights, after.weights) and before.slope == after.slope != 0
+    few = line_quality.train(docs, labels, max_bytes=20_000)
+    assert few.slope != 0
 
 
 def test_quality_on_held_out_documents(spark, texts, odd):
@@ -253,8 +363,74 @@ def test_mix_keeps_sums_and_limits(spark):
         assert had == size and abs(taken - target) <= 2 and target <= 2 * size + 1e-6
     assert sum(t for *_, t in per_source.values()) == pytest.approx(1.5 * sum(s for s, *_ in per_source.values()))
     assert mixing.mixture(docs.limit(0)).collect() == []
-    taken = mixing.take(docs.drop("size"))
-    assert sum(len(r.text.split()) for r in taken.collect()) >= sum(t for _, t, *_ in per_source.values()) - 2
+    check_take(mixing.take(docs).collect(), found)
+
+
+def check_take(rows, found):
+    """Each document's words in the mix, and the words of each shard, are those that ``mixture`` tells."""
+    words, expected = Counter(), Counter()
+    for r in rows:
+        words[r.doc_id] += len(r.text.split())
+    for r in found:
+        expected[r.doc_id] += r.taken
+        assert r.taken == sum(s.words for s in r.shards)
+    assert +words == +expected
+
+
+def test_equal_rows_are_taken_each_on_its_own_account(spark):
+    draw = random.Random(2)
+    rows = [(i, f"t{i} " + "w " * draw.randrange(1, 9000), draw.choice("ab"), i, "x") for i in range(40)]
+    # Copies equal in all columns, and copies that differ in one that does not clash by chance.
+    rows += [rows[0]] * 9 + [rows[1]] * 2 + [(*rows[2][:3], n, "y") for n in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _hash long, _id string").repartition(4)
+    found = mixing.mixture(docs, shards=4).collect()
+    taken = mixing.take(docs, shards=4)
+    assert taken.columns == docs.columns
+    got = taken.collect()
+    check_take(got, found)
+    assert {(r._hash, r._id) for r in got} <= {r[3:] for r in rows}
+    assert {r._hash for r in got if r.doc_id == 2} == {0, 1, 2}
+
+
+def test_shards_get_what_the_tree_gives_them(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    found = mixing.mixture(docs, shards=8).collect()
+    expected = Counter()
+    for r in found:
+        for s in r.shards:
+            expected[s.shard] += s.words
+    # Shards are ranges of the result: the words of each, in order, add up to those of the tree.
+    words = [len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in mixing.take(docs, shards=8).collect()]
+    ends = np.cumsum([0, *words])
+    borders = np.cumsum([0, *(expected[s] for s in range(8))])
+    assert ends[-1] == borders[-1] and set(borders) <= set(ends)
+    total = sum(expected.values())
+    assert max(expected.values()) < 1.5 * total / 8
+
+
+def plain_targets(rows):
+    """Sizes of sources and their targets, resharing what is above the limit until nothing is."""
+    size = Counter()
+    for _, text, source in rows:
+        size[source] += len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(size, key=lambda s: (s is None, s or "")))}
+    target, open_ = {}, set(size)
+    while open_:
+        level = (1.5 * sum(size.values()) - sum(target.values())) / sum(weight[s] for s in open_)
+        over = {s for s in open_ if level * weight[s] > 2 * size[s]}
+        target |= {s: 2.0 * size[s] for s in over} if over else {s: level * weight[s] for s in open_}
+        open_ -= over or set(open_)
+    return size, target
+
+
+def test_sizes_and_targets_of_every_row(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").collect()
+    size, target = plain_targets([tuple(r) for r in docs])
+    source = {r.doc_id: r.source for r in docs}
+    text = {r.doc_id: r.text for r in docs}
+    for r in QUERIES["op2_mixing"](spark, SMALL).collect():
+        assert r.size == len(re.findall(r"[^\x20\x09-\x0D]+", text[r.doc_id] or ""))
+        assert r.source_size == size[source[r.doc_id]] and r.target == pytest.approx(target[source[r.doc_id]])
 
 
 def test_quotas_are_split_exactly(spark):
