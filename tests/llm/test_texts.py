@@ -109,6 +109,91 @@ def test_main_texts_of_other_pages(spark):
     assert html_text.extracted(df.limit(0)).collect() == []
 
 
+PARAGRAPH = "This paragraph has rather more words than its heading has, as paragraphs do."
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (f"<article><h1>Introduction</h1><p>{PARAGRAPH}</article>", f"Introduction\n{PARAGRAPH}"),
+        (f'<div class="layout has-sidebar"><article><p>{PARAGRAPH}</article></div>', PARAGRAPH),
+        (f'<div class="sidebar"><main><p>{PARAGRAPH}</main></div><footer>Foot</footer>', PARAGRAPH),
+        (f'<div class="no-sidebar"><main><p>{PARAGRAPH}</main></div>', PARAGRAPH),
+        (f'<form id="aspnetForm"><div class="sidebar">Side words</div><main><p>{PARAGRAPH}</main></form>', PARAGRAPH),
+        (f'<article><h2 id="legal">Legal history</h2><p>{PARAGRAPH}</article>', f"Legal history\n{PARAGRAPH}"),
+        (f'<article><p class="notice-of-motion">A notice.</p><p>{PARAGRAPH}</article>', f"A notice.\n{PARAGRAPH}"),
+        (f'<article><p class="notice">We use cookies.</p><p>{PARAGRAPH}<div class="ad-box"><p>Buy now</div><p>End.</article>', f"{PARAGRAPH}\nEnd."),
+        (f'<div class="sidebar" id="nav">{PARAGRAPH} {PARAGRAPH}</div><p>Short but not so short.', f"{PARAGRAPH} {PARAGRAPH}\nShort but not so short."),
+        (f'<article><p>{PARAGRAPH}</article><aside><article><p>A card of another story.</article></aside>', PARAGRAPH),
+        (f'<article><p>{PARAGRAPH}<p hidden>Not seen.<p style="Display : none">Nor this.<script>if (a<b) "</p>"</script><p>seen</article>', f"{PARAGRAPH}\nseen"),
+        ('<article><p title="a > b">1 < 2 &lt; 3 <3 <a href=x>y</a\n>z<!-- > --><b>w</b>!</article>', "1 < 2 < 3 <3 yzw!"),
+        ("<article><ul><li>one<li>two</ul><p>a<br>b</p>c</article> outside", "one\ntwo\na b\nc"),
+    ],
+)
+@pytest.mark.parametrize("learnt", [True, False])
+def test_main_texts_keep_what_is_inside(page, expected, learnt):
+    weight = html_text.weights({})
+    if learnt:
+        pages = [r for r in pages_of("sf0.01")]
+        total = Counter()
+        for html in pages:
+            total.update(html_text.counts(html))
+        weight = html_text.weights(total)
+    assert html_text.main_text(page, weight) == expected
+
+
+def pages_of(scale):
+    import duckdb
+
+    return [r[0] for r in duckdb.sql(f"SELECT html FROM '{SMALL.replace('sf0.001', scale)}/pages.parquet'").fetchall()]
+
+
+def test_pages_that_do_not_mark_their_article():
+    pages = pages_of("sf0.01")
+    total = Counter()
+    for html in pages[:125]:
+        total.update(html_text.counts(html))
+    weight = html_text.weights(total)
+    unmarked = [re.sub(r"<(/?)(article|main)\b", r"<\1div", html) for html in pages[125:]]
+    right = [html_text.main_text(html, weight) == plain_article(marked) for html, marked in zip(unmarked, pages[125:])]
+    assert np.mean(right) > 0.9
+
+
+def test_features_are_weighed_by_where_they_are_seen():
+    # Where a word for menus names the layout of articles, and another class the menus, the pages are believed.
+    story = "<article><div class='toc story'><p>" + "word " * 30 + "</p></div></article>"
+    total = Counter()
+    for i in range(40):
+        total.update(html_text.counts(f"<div class='blob'>menu words {i}</div>{story}<div class='blob'>more</div>"))
+    weight = html_text.weights(total)
+    assert weight["@toc"] > 0 > weight["@blob"]
+    page = html_text.Page(f"<div class='blob'>menu words</div><div class='toc'>a few words</div><p>{PARAGRAPH}")
+    assert [b.text for b in page.blocks(weight)] == ["a few words", PARAGRAPH]
+    assert [b.text for b in page.blocks(html_text.weights({}))] == ["menu words", PARAGRAPH]
+
+
+@pytest.mark.parametrize(
+    "hostile",
+    [
+        lambda n: '<a "' * n, lambda n: "<div><b>" * n + "</i>" * n, lambda n: "<a " * n, lambda n: '<a x="' * n, lambda n: "<!--" * n,
+        lambda n: "<script>" * n, lambda n: "<u><div>" + "<b>" * n + "</u>" * n, lambda n: "<" * n, lambda n: "</" * n, lambda n: "<p class=ad>" * n,
+        lambda n: "<nav>" * n + "<article>" * n + "</nav>" * n, lambda n: "<a" + " b=c" * n + ">", lambda n: "<p>" + "&amp" * n, lambda n: "<a  " + " " * n,
+        lambda n: "<textarea></script>" * n, lambda n: "<![CDATA[" * n, lambda n: "<aside><article>x" * n,
+    ],
+)
+def test_time_is_linear_in_the_page(hostile):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        html_text.main_text("<p>text</p>" + hostile(n), {"": 1.0})
+        return time.perf_counter() - start
+
+    seconds(100)
+    short, long = (min(seconds(n) for _ in range(2)) for n in (8_000, 64_000))
+    assert long < 0.2 or long < 24 * short
+
+
 def plain_best_run(gains):
     sums = [(sum(gains[a:b]), a, b) for a in range(len(gains)) for b in range(a + 1, len(gains) + 1)]
     return max(sums, default=(0, 0, 0), key=lambda x: x[0])[0]
@@ -127,7 +212,7 @@ def test_the_scan_finds_the_best_run():
         text = html_text.main_text(page, weight)
         counted = len(text.split())
         assert counted > 0
-        blocks, _ = html_text.blocks(page)
+        blocks = html_text.Page(page).blocks(weight)
         runs = [
             (sum(b.words for b in blocks[i:j]) + sum(weight[t] for b in blocks[i + 1 : j] for t in b.tags), "\n".join(b.text for b in blocks[i:j]))
             for i in range(len(blocks)) for j in range(i + 1, len(blocks) + 1)
