@@ -22,6 +22,7 @@ passage, at most twice as long as a window.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -36,7 +37,7 @@ from tallymill.session import written
 
 LENGTH = 200
 #: Bytes of the grams that serve as anchors.
-GRAM = 64
+GRAM = 32
 #: Anchors with more different passages than this are counted window by window.
 CROWD = 4096
 #: Bytes of passages that go into one suffix array, about.
@@ -113,8 +114,12 @@ def _signed(values: np.ndarray) -> list[int]:
     return values.view(np.int64).tolist()
 
 
-def repeated_windows(texts: Sequence[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each text, whether the window at each start also occurs elsewhere in these texts."""
+def repeated_windows(texts: Sequence[bytes], length: int = LENGTH, copies: Sequence[int] | None = None) -> list[np.ndarray]:
+    """For each text, whether the window at each start also occurs elsewhere in these texts.
+
+    ``copies`` tells how many copies each text stands for: a window that occurs once in
+    the suffix array counts as often as its text.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes)
     data = b"".join(texts)
@@ -145,6 +150,7 @@ def repeated_windows(texts: Sequence[bytes], length: int = LENGTH) -> list[np.nd
     rest = ends[owner] - starts
     common = _common(windows, starts[order], rest[order], length)
     prefix, back = _prefix(flat), _powers(_INVERSE)
+    several = np.zeros(len(texts), bool) if copies is None else np.asarray(copies) > 1
     repeated = np.zeros(len(flat), bool)
     # Each window starts ``inside`` bytes before the end of a word: the rank of the
     # suffix behind that word, and the bytes before it, tell equal windows. What
@@ -158,6 +164,7 @@ def repeated_windows(texts: Sequence[bytes], length: int = LENGTH) -> list[np.nd
         key = _mixed((prefix[at + upto] - prefix[at]) * back[at]) + np.uint64(_BASE) * np.asarray(kind).astype(np.uint64)
         by_key = np.argsort(key, kind="stable")
         at, key = at[by_key], key[by_key]
+        repeated[at] |= several[text_of[at]]
         pair = np.flatnonzero(key[1:] == key[:-1])
         for cut in range(0, len(pair), 8192):
             some = pair[cut : cut + 8192]
@@ -296,10 +303,11 @@ def _sorted_out(bodies: DataFrame, length: int) -> DataFrame:
             yield found(waiting)
 
     def found(waiting: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        flags = repeated_windows([body for _, _, body in waiting], length)
-        # The two occurrences of a passage have one verdict.
+        # The two occurrences of a passage are one text of the array if their bytes are equal.
+        copies = Counter(waiting)
+        flags = repeated_windows([body for _, _, body in copies], length, list(copies.values()))
         united: dict[tuple[int, int], np.ndarray] = {}
-        for (key, content, _), f in zip(waiting, flags):
+        for (key, content, _), f in zip(copies, flags):
             other = united.get((key, content))
             united[key, content] = f if other is None or len(other) != len(f) else f | other
         rows = [(key, content, ranges(f)) for (key, content), f in united.items() if f.any()]

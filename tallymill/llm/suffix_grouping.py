@@ -72,13 +72,25 @@ def _lyndon_groups(symbols: np.ndarray) -> tuple[list[int], list[int]]:
                 previous[suffix] = p
                 if p >= 0:
                     times[p] = times.get(p, 0) + 1
-            by_times: dict[int, list[int]] = {}
-            for p, n_times in times.items():
-                by_times.setdefault(n_times, []).append(p)
-            for often in sorted(by_times, reverse=True):
+            if not times:
+                end = start
+                continue
+            if max(times.values()) == 1:
+                rounds = [list(times)]
+            else:
+                by_times: dict[int, list[int]] = {}
+                for p, n_times in times.items():
+                    by_times.setdefault(n_times, []).append(p)
+                rounds = [by_times[n_times] for n_times in sorted(by_times, reverse=True)]
+            for found in rounds:
                 together: dict[int, list[int]] = {}
-                for p in by_times[often]:
-                    together.setdefault(group[p], []).append(p)
+                for p in found:
+                    old = group[p]
+                    if size[old] > 1:  # a suffix alone in its group stays where it is
+                        if old in together:
+                            together[old].append(p)
+                        else:
+                            together[old] = [p]
                 for old, moved in together.items():
                     left = size[old] - len(moved)
                     if left:
@@ -88,9 +100,8 @@ def _lyndon_groups(symbols: np.ndarray) -> tuple[list[int], list[int]]:
                             at, other = place[p], members[tail]
                             members[at], place[other] = other, at
                             members[tail], place[p] = p, tail
+                            group[p] = old + left
                         size[old], size[tail] = left, len(moved)
-                        for p in moved:
-                            group[p] = tail
         end = start
     return group, previous
 
