@@ -4,33 +4,42 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from urllib.parse import parse_qsl, urlsplit
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.functions import arrow_udtf
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.functions import udtf
 
 from tallymill.operators.sessions import micros
 
 
-@arrow_udtf(returnType="page_no int, host string, depth int, n_arguments int")
-class UrlParts:
-    """Table function over a whole table: the parts of each address, by the standard URL parser."""
-
-    def eval(self, table: pa.RecordBatch | pa.Table) -> Iterator[pa.Table]:
-        numbers, addresses = (table.column(i).to_pylist() for i in (0, 1))
-        rows = []
-        for number, address in zip(numbers, addresses):
-            if address is not None:
-                parts = urlsplit(address)
-                depth = sum(1 for step in parts.path.split("/") if step)
-                rows.append((number, parts.hostname, depth, len(parse_qsl(parts.query, keep_blank_values=True))))
-        types = [pa.int32(), pa.string(), pa.int32(), pa.int32()]
-        columns = zip(*rows) if rows else [()] * 4
-        arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-        yield pa.Table.from_arrays(arrays, names=["page_no", "host", "depth", "n_arguments"])
+@udtf(returnType="order_key long, box int, n_lines int, quantity double")
+class Boxes:
+    """Table function over rows (order key, quantity, capacity), partitioned by order and sorted: what goes into which box.
+
+    A line goes into the box that is open if it still fits, else that box is closed and
+    the line opens the next one; a line above the capacity has a box of its own. Each box
+    depends on all before it. The rows of an order pass through one by one, so an order
+    of any length needs no memory. Lines without a quantity are not packed.
+    """
+
+    def __init__(self) -> None:
+        self._order, self._box, self._lines, self._fill = None, 0, 0, 0.0
+
+    def eval(self, line: Row) -> Iterator[tuple]:
+        order, quantity, capacity = line[0], line[1], line[2]
+        if quantity is None:
+            return
+        if self._lines and self._fill + quantity > capacity:
+            yield self._order, self._box, self._lines, self._fill
+            self._lines, self._fill = 0, 0.0
+        if not self._lines:
+            self._order, self._box = order, self._box + 1
+        self._lines, self._fill = self._lines + 1, self._fill + quantity
+
+    def terminate(self) -> Iterator[tuple]:
+        if self._lines:
+            yield self._order, self._box, self._lines, self._fill
 
 
 def circular_means(df: DataFrame, keys: Sequence[str], time: str, period_seconds: int) -> DataFrame:

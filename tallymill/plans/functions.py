@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.functions.udfs import UrlParts, circular_means
+from tallymill.functions.udfs import Boxes, circular_means
 from tallymill.plans.registry import query
 from tallymill.sources.tables import sql, table
 
@@ -27,15 +27,25 @@ def udaf(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "udtf",
-    r"""
-    SELECT CAST(page_id AS INTEGER) AS page_no, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host,
-           CAST(len(regexp_extract_all(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '[^/]+')) AS INTEGER) AS depth,
-           CAST(len(regexp_extract_all(regexp_extract(url, '\?([^#]*)', 1), '[^&]+')) AS INTEGER) AS n_arguments
-    FROM pages
+    """
+    WITH RECURSIVE lines AS (
+      SELECT l_orderkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC) AS i FROM lineitem),
+    packed AS (
+      SELECT l_orderkey, i, 1 AS box, l_quantity AS fill FROM lines WHERE i = 1
+      UNION ALL
+      SELECT l.l_orderkey, l.i, CASE WHEN fill + l_quantity > 60 THEN box + 1 ELSE box END,
+             CASE WHEN fill + l_quantity > 60 THEN l_quantity ELSE fill + l_quantity END
+      FROM packed p JOIN lines l ON l.l_orderkey = p.l_orderkey AND l.i = p.i + 1)
+    SELECT l_orderkey AS order_key, CAST(box AS INTEGER) AS box, CAST(count(*) AS INTEGER) AS n_lines, max(fill) AS quantity
+    FROM packed GROUP BY l_orderkey, box
     """,
 )
 def udtf(spark: SparkSession, folder: str) -> DataFrame:
-    spark.udtf.register("url_parts", UrlParts)
+    """The boxes of 60 pieces into which the lines of each order go, large lines first."""
+    spark.udtf.register("boxes", Boxes)
     return sql(
-        spark, folder, "SELECT * FROM url_parts(TABLE(SELECT CAST(page_id AS INT) AS page_no, url FROM {pages}))", "pages"
+        spark,
+        folder,
+        "SELECT * FROM boxes(TABLE(SELECT l_orderkey, l_quantity, 60.0D AS capacity FROM {lineitem}) PARTITION BY l_orderkey ORDER BY l_quantity DESC)",
+        "lineitem",
     )
