@@ -13,6 +13,7 @@ from tallymill.plans.registry import query
 from tallymill.session import scratch_path
 from tallymill.sources.tables import table, table_path
 from tallymill.streaming import jobs
+from tallymill.streaming.alarms import silences
 
 
 def _streamed(spark: SparkSession, folder: str, job: jobs.Transform, label: str) -> DataFrame:
@@ -112,3 +113,17 @@ def stream_join(spark: SparkSession, folder: str) -> DataFrame:
     """Two streams joined by time: for each error the purchases that its user makes within the next hour."""
     job = jobs.answers("2 hours", F.expr("event_type = 'error'"), F.expr("event_type = 'purchase'"))
     return _streamed(spark, folder, job, "stream-join")
+
+
+@query(
+    "stream_silence",
+    f"""
+    SELECT user_id, last_ts, n_events, alarm_no
+    FROM (SELECT user_id, session_end - INTERVAL 1 HOUR AS last_ts, n_events, session_end,
+                 row_number() OVER (PARTITION BY user_id ORDER BY session_end) AS alarm_no FROM ({SESSION_SQL}))
+    WHERE session_end < (SELECT max(ts) - INTERVAL 2 HOURS FROM events)
+    """,
+)
+def stream_silence(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream with timers of its own: an alarm whenever a user has done nothing for an hour, numbered per user."""
+    return _streamed(spark, folder, silences("2 hours", 3600), "stream-silence")

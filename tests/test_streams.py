@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymill.streaming import jobs
+from tallymill.streaming.alarms import silences
 
 START = dt.datetime(2024, 5, 1)
 SCHEMA = "event_id long, user_id long, event_type string, ts timestamp_ntz, value double"
@@ -124,3 +125,23 @@ def test_questions_wait_for_answers_over_a_restart(spark, place):
     assert sorted(map(tuple, run(spark, job, path, folder).collect())) == first
     deliver(spark, [event(10, 900, kind="error"), event(11, 900, kind="purchase")], path)
     assert sorted(map(tuple, run(spark, job, path, folder).collect())) == [*first, (7, 1, at(300), 0, None)]
+
+
+def test_silence_is_told_once_the_watermark_has_passed_it(spark, place):
+    path, folder = place
+    job = silences("10 minutes", 3600)
+    at = lambda minute: START + dt.timedelta(minutes=minute)
+    found = lambda: sorted(map(tuple, run(spark, job, path, folder).collect()))
+    deliver(spark, [event(0, 0), event(1, 30), event(2, 40, user=2)], path)
+    assert found() == []
+    # User 1 goes on after 55 minutes, user 2 does not; a third one moves the watermark to 1:55.
+    deliver(spark, [event(3, 85), event(4, 125, user=3)], path)
+    assert found() == [(2, at(40), 1, 1)]
+    # An event in between, late but not too late, belongs to the visit; user 2 is back and silent again.
+    deliver(spark, [event(5, 116, user=1), event(6, 118, user=2), event(7, 300, user=3)], path)
+    expected = [(1, at(116), 4, 1), (2, at(40), 1, 1), (2, at(118), 1, 2), (3, at(125), 1, 1)]
+    assert found() == expected
+    deliver(spark, [event(8, 100, user=1)], path)  # too late
+    assert found() == expected
+    deliver(spark, [event(9, 900, user=1), event(10, 2000, user=3)], path)
+    assert found() == sorted([*expected, (1, at(900), 1, 2), (3, at(300), 1, 2)])
