@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallymill.llm.key_filter import KeyFilter, key_filter
 from tallymill.llm.rows import column, digest, packed, text_or_empty, unpacked
 from tallymill.llm.suffix_grouping import suffix_array
 from tallymill.session import written
@@ -223,8 +224,8 @@ def _anchor_counts(rows: DataFrame, length: int) -> DataFrame:
     return written(counted.filter("n > 1").select("key"), "anchors")
 
 
-def _occurrences(rows: DataFrame, length: int) -> DataFrame:
-    """One row for each text and distinct passage: anchor, hash, windows, and where it starts."""
+def _occurrences(rows: DataFrame, length: int, wanted: KeyFilter) -> DataFrame:
+    """One row for each text and distinct passage whose anchor may be ``wanted``: anchor, hash, windows, and where it starts."""
     id_type = rows.schema["id"].dataType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +234,8 @@ def _occurrences(rows: DataFrame, length: int) -> DataFrame:
             for row, text in enumerate(batch.column("text")):
                 data = text.as_py().encode()
                 keys, starts, ends = passages(data, length)
+                known = wanted.may_hold(keys)
+                keys, starts, ends = keys[known], starts[known], ends[known]
                 here: dict[tuple[int, int], list[int]] = {}
                 shape = {}
                 for key, start, end in zip(_signed(keys), starts.tolist(), ends.tolist()):
@@ -341,7 +344,8 @@ def _counted_out(bodies: DataFrame, length: int) -> DataFrame:
 def _removals(rows: DataFrame, length: int, crowd: int) -> DataFrame:
     """(``id``, ``h``, ``marks``): where the repeated windows of each text are."""
     anchors = _anchor_counts(rows, length)
-    occurrences = written(_occurrences(rows, length).join(anchors, "key"), "passages")
+    # The filter drops most passages where they are read; the join behind it decides.
+    occurrences = written(_occurrences(rows, length, key_filter(anchors)).join(anchors, "key"), "passages")
     places = F.octet_length("starts") / 4
     place = F.struct("id", "h", "starts")
     distinct = written(

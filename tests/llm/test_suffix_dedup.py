@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tallymill.llm import suffix_dedup
+from tallymill.llm import key_filter, suffix_dedup
 from tallymill.llm.queries import QUERIES
 from tallymill.llm.suffix_grouping import suffix_array
 from tests.conftest import SMALL
@@ -107,3 +107,17 @@ def test_suffix_arrays():
         if draw.random() < 0.3:
             s = (s[: max(1, n // 4)] * 9)[:n]
         assert suffix_array(np.array(s, np.int64)).tolist() == sorted(range(n), key=lambda i: s[i:])
+
+
+@pytest.mark.parametrize("most_blocks", [1024, 1])
+def test_key_filters_hold_every_key_and_few_others(spark, monkeypatch, most_blocks):
+    monkeypatch.setattr(key_filter, "MOST_BLOCKS", most_blocks)
+    table = spark.range(0, 200_000, 1, 4).selectExpr("xxhash64(id) AS key")
+    found = key_filter.key_filter(table)
+    assert found.blocks == min(8, most_blocks)
+    keys = np.array([r.key for r in table.collect()], np.int64).view(np.uint64)
+    assert found.may_hold(keys).all()
+    others = np.random.default_rng(1).integers(0, 2**63, 50_000, np.uint64)
+    # A filter with room keeps out nearly all others; one without still loses none.
+    assert found.may_hold(others).mean() < (0.02 if most_blocks > 1 else 0.9)
+    assert not key_filter.key_filter(table.limit(0)).may_hold(others).any()
