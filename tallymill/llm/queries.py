@@ -91,8 +91,7 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
-    records, _ = warc.round_trip(table(spark, folder, "pages"))
-    return records
+    return warc.round_trip(table(spark, folder, "pages"))
 
 
 @query("op9_prefix_hashes")

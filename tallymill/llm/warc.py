@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.session import new_path, written
+from tallymill.session import scratch_path, written
 
 #: Payloads below this size are never written as revisits.
 REVISIT_BYTES = 100
@@ -38,6 +38,8 @@ _READ = 1 << 16
 _LONGEST_HEADER = 1 << 16
 _VERSION = re.compile(rb"WARC/(?:0\.1[78]|1\.[01])\r?\n")
 _MAGIC = b"\x1f\x8b\x08"
+# Fields of our own: the page's id, and that of the page whose payload is the same.
+_PAGE, _REFERS = "Page-ID", "Refers-To-Page-ID"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -75,21 +77,41 @@ def record_bytes(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
 
 
-def page_record(page_id, url: str, payload: bytes, digest: str, refers_to, date: str = DATE) -> bytes:
-    """A response, or a revisit of the response of ``refers_to`` if that is not None."""
+def info_record(name: str, date: str = DATE) -> bytes:
+    """The record that opens an archive and tells about it."""
+    headers = [
+        ("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date),
+        ("WARC-Filename", name), ("Content-Type", "application/warc-fields"),
+    ]
+    return record_bytes(headers, b"software: tallymill\r\nformat: WARC File Format 1.1\r\n")
+
+
+def page_record(page_id, url: str, payload: bytes, digest: str, refers_to, refers_url: str | None = None, date: str = DATE) -> bytes:
+    """A response, or a revisit of the response of ``refers_to`` if that is not None.
+
+    Records have ids of their own. The page's id, which may be missing or repeat, is a field beside it.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     headers = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
         ("WARC-Date", date),
-        # Line breaks and other controls cannot stand in a header.
-        ("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)),
+        ("WARC-Target-URI", _header(url)),
+        (_PAGE, "" if page_id is None else str(page_id)),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("Content-Type", "application/http;msgtype=response"),
     ]
     if refers_to is None:
         return record_bytes(headers, http + payload)
-    return record_bytes([*headers, ("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}>")], http)
+    refers = [("WARC-Profile", _PROFILE), (_REFERS, str(refers_to)), ("WARC-Refers-To-Date", date)]
+    if refers_url is not None:
+        refers.append(("WARC-Refers-To-Target-URI", _header(refers_url)))
+    return record_bytes([*headers, *refers], http)
+
+
+def _header(value: str) -> str:
+    """Line breaks and other controls cannot stand in a header."""
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", value)
 
 
 def member(record: bytes) -> bytes:
@@ -202,10 +224,23 @@ class SalvageReader:
         return record
 
 
+def shared_address(spark: SparkSession, folder: str) -> str:
+    """The folder's full address, as Spark's own file-system settings read it, and as tasks can open it.
+
+    A path without a scheme lies in Spark's default file system, wherever that is.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    address = re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", whole))
+    try:
+        _place(address)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as error:
+        raise ValueError(f"archives cannot be written to {whole}: {error}") from error
+    return address
+
+
 def _place(address: str) -> tuple[fs.FileSystem, str]:
-    if "://" not in address and not address.startswith("file:"):
-        return fs.LocalFileSystem(), address
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", address))
+    return fs.FileSystem.from_uri(address)
 
 
 def write_archives(
@@ -226,17 +261,21 @@ def write_archives(
         F.sha2(payload, 256).alias("digest"),
     )
     # Written first, so that its size is known when the rows are joined with it.
+    first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "url")))
     repeated = written(
         rows.filter(F.octet_length("payload") >= REVISIT_BYTES)
         .groupBy("digest")
-        .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1 AND first IS NOT NULL")
-        .select(F.col("digest").alias("d"), "first"),
+        .agg(first.alias("found"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1 AND found IS NOT NULL")
+        .select(F.col("digest").alias("d"), F.col("found.id").alias("first"), F.col("found.url").alias("refers_url")),
         "repeated-payloads",
     )
     small = F.octet_length("payload") < REVISIT_BYTES
     refers = F.when(~small & ~F.col("id").eqNullSafe(F.col("first")), F.col("first"))
-    rows = rows.join(repeated, F.col("digest") == F.col("d"), "left").select("id", "url", "payload", "digest", refers.alias("refers_to"))
+    rows = rows.join(repeated, F.col("digest") == F.col("d"), "left").select(
+        "id", "url", "payload", "digest", refers.alias("refers_to"), "refers_url"
+    )
+    folder = shared_address(pages.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = _place(folder)
@@ -250,11 +289,13 @@ def write_archives(
             )
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("id", "url", "payload", "digest", "refers_to")]
+            columns = [batch.column(c) for c in ("id", "url", "payload", "digest", "refers_to", "refers_url")]
             for row in zip(*columns):
                 if stream is None:
                     name = f"{base}/{uuid.uuid4().hex}.warc" + (".gz" if packed else "")
-                    stream, records, size = filesystem.open_output_stream(name, compression=None), 0, 0
+                    stream, records = filesystem.open_output_stream(name, compression=None), 0
+                    info = info_record(name.rpartition("/")[2])
+                    size = stream.write(member(info) if packed else info)
                 record = page_record(*(value.as_py() for value in row))
                 data = member(record) if packed else record
                 stream.write(data)
@@ -271,14 +312,16 @@ def write_archives(
 def read_archives(spark: SparkSession, paths: DataFrame, folder: str) -> DataFrame:
     """What the archives in column ``path`` hold, one row per record or gap.
 
-    ``path``, ``offset``, ``length``; for records ``record_type``, ``record_id``,
+    ``path``, ``offset``, ``length``; for records ``record_type``, ``page_id``,
     ``refers_to``, ``url``, ``payload_bytes``, ``payload_digest``; for gaps the
     ``reason`` why the bytes are quarantined. ``folder`` names the file system.
     Records of other types than response and revisit have null payload columns.
     """
-    names = ["path", "offset", "length", "record_type", "record_id", "refers_to", "url", "payload_bytes", "payload_digest", "reason"]
+    names = ["path", "offset", "length", "record_type", "page_id", "refers_to", "url", "payload_bytes", "payload_digest", "reason"]
     types = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.string()]
 
+    folder = shared_address(spark, folder)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, _ = _place(folder)
         for batch in batches:
@@ -298,7 +341,7 @@ def read_archives(spark: SparkSession, paths: DataFrame, folder: str) -> DataFra
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     schema = (
-        "path string, offset long, length long, record_type string, record_id string, refers_to string, url string, "
+        "path string, offset long, length long, record_type string, page_id string, refers_to string, url string, "
         "payload_bytes long, payload_digest string, reason string"
     )
     # One archive is one unit of work, whatever their number.
@@ -318,26 +361,37 @@ def _described(path: str, item: Record | Gap) -> tuple:
         length = http.get("content-length", "")
         size = len(payload) if kind == "response" else int(length) if length.isdigit() else None
     return (
-        path, item.offset, item.length, kind, headers.get("warc-record-id"), headers.get("warc-refers-to"),
+        path, item.offset, item.length, kind, headers.get(_PAGE.lower()) or None, headers.get(_REFERS.lower()),
         headers.get("warc-target-uri"), size, digest, None,
     )
 
 
-def _page(column: str):
-    return F.nullif(F.regexp_extract(column, "^<urn:page:(.*)>$", 1), F.lit(""))
+def missing(archives: DataFrame, rows: DataFrame) -> tuple[int, int]:
+    """How many records of ``archives`` were not read back, and how many gaps there are instead."""
+    wrote = archives.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    is_page = F.col("record_type").isin("response", "revisit")
+    found, gaps = rows.agg(F.count_if(is_page), F.count_if(F.col("reason").isNotNull())).first()
+    return wrote - found, gaps
 
 
 def round_trip(
-    pages: DataFrame, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html"
-) -> tuple[DataFrame, DataFrame]:
-    """Write ``pages`` to archives and read them back: the records, and the gaps (none unless files were damaged)."""
+    pages: DataFrame, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html", folder: str | None = None
+) -> DataFrame:
+    """Write ``pages`` to archives and read them back: a row per page, taken from its record.
+
+    Pages whose records are not read back raise, with the number of quarantined gaps:
+    none is missing silently. The archives go with the driver unless ``folder`` names a
+    place for them.
+    """
     spark = pages.sparkSession
-    folder = new_path(spark, "warc")
+    folder = scratch_path(spark, "warc") if folder is None else folder
     archives = write_archives(pages, folder, id_column, url_column, payload_column)
     rows = written(read_archives(spark, archives, folder), "warc-records")
+    lost, gaps = missing(archives, rows)
+    if lost or gaps:
+        raise RuntimeError(f"{lost} records were not read back from {folder}; {gaps} gaps are quarantined")
     id_type = pages.schema[id_column].dataType
-    records = rows.filter("reason IS NULL").select(
-        _page("record_id").cast(id_type).alias(id_column), "payload_bytes", "payload_digest", "record_type",
-        _page("refers_to").cast(id_type).alias("refers_to"),
+    return rows.filter(F.col("record_type").isin("response", "revisit")).select(
+        F.col("page_id").cast(id_type).alias(id_column), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(id_type).alias("refers_to"),
     )
-    return records, rows.filter("reason IS NOT NULL").select("path", "offset", "length", "reason")

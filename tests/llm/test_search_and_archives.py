@@ -86,14 +86,14 @@ def read(data):
         assert item.offset == place
         place += item.length
     assert place == len(data)
-    ids = [i.headers["warc-record-id"] for i in items if isinstance(i, warc.Record)]
+    ids = [i.headers["page-id"] for i in items if isinstance(i, warc.Record)]
     return ids, [(g.offset, g.length) for g in items if isinstance(g, warc.Gap)]
 
 
 @pytest.mark.parametrize("packed", [True, False])
 def test_damaged_archives(packed):
     parts = [warc.member(r) if packed else r for r in records(9)]
-    names = [f"<urn:page:{i}>" for i in range(9)]
+    names = [str(i) for i in range(9)]
     assert read(b"".join(parts)) == (names, [])
     start = sum(map(len, parts[:4]))
     # Noise in the payload of a record.
@@ -124,19 +124,74 @@ def test_revisits_and_odd_pages(spark):
     rows = [(5, "u", same, 1), (3, "u\r\nx y", same, 1), (9, None, same, 1), (9, None, same, 1), (None, "n", same, 1), (1, "u", short, 1), (2, "u", short, 1)]
     rows += [(10, "u", None, 1), (11, "u", "", 1), (None, "u", "é" * 70, 1), (None, "u", "é" * 70, 1), (12, "u", "x" * 99, 1), (13, "u", "x" * 99, 1), (14, "u", "y" * 300_000, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int").repartition(3)
-    found, gaps = warc.round_trip(pages)
+    found = warc.round_trip(pages)
     expected = []
     for i, _, html, _ in rows:
         data = (html or "").encode()
         again = html == same and i != 3
         expected.append((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", 3 if again else None))
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
-    assert gaps.collect() == []
-    assert warc.round_trip(pages.limit(0))[0].collect() == []
+    assert warc.round_trip(pages.limit(0)).collect() == []
     plain = new_path(spark, "plain-warc")
     archives = warc.write_archives(pages, plain, packed=False, file_bytes=1000)
     assert archives.count() > 3
-    assert warc.read_archives(spark, archives, plain).filter("reason IS NULL").count() == len(rows)
+    records = warc.read_archives(spark, archives, plain)
+    assert records.filter("record_type IN ('response', 'revisit')").count() == len(rows)
+    assert records.filter("record_type = 'warcinfo'").count() == archives.count()
+
+
+def local(path):
+    return path.removeprefix("file:").replace("//", "/")
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_a_damaged_file_is_salvaged_in_spark(spark, packed):
+    folder = new_path(spark, "damaged-warc")
+    pages = spark.range(0, 40, 1, 3).selectExpr("id AS page_id", "concat('http://x/', id) AS url", "repeat(concat('<p>page ', id), 60) AS html")
+    archives = warc.write_archives(pages, folder, packed=packed)
+    whole = warc.read_archives(spark, archives, folder)
+    assert warc.missing(archives, whole) == (0, 0)
+    victim = whole.filter("page_id = '7'").first()
+    with open(local(victim.path), "r+b") as file:
+        file.seek(victim.offset + victim.length - 40)
+        file.write(b"\xff\x00\xff")
+    again = warc.read_archives(spark, archives, folder)
+    assert {r.page_id for r in again.filter("page_id IS NOT NULL").collect()} == {str(i) for i in range(40)} - {"7"}
+    gap = again.filter("reason IS NOT NULL").collect()
+    assert [(g.path, g.offset, g.length) for g in gap] == [(victim.path, victim.offset, victim.length)]
+    assert warc.missing(archives, again) == (1, 1)
+
+
+def test_missing_pages_are_told(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "u", "x" * 200), (2, "u", "y" * 200)], "page_id long, url string, html string")
+    write = warc.write_archives
+
+    def damaged(*args, **options):
+        archives = write(*args, **options)
+        path = local(archives.first().path)
+        with open(path, "r+b") as file:
+            file.seek(-30, 2)
+            file.write(b"\0" * 10)
+        return archives
+
+    monkeypatch.setattr(warc, "write_archives", damaged)
+    with pytest.raises(RuntimeError, match="1 records were not read back"):
+        warc.round_trip(pages)
+
+
+def test_records_have_ids_of_their_own():
+    page = (5, "http://x/ y", b"payload", "0" * 64, 3, "http://z")
+    one, other = (next(iter(warc.SalvageReader(io.BytesIO(r), len(r)))).headers for r in (warc.page_record(*page), warc.page_record(*page)))
+    assert one["warc-record-id"] != other["warc-record-id"] and one["warc-record-id"].startswith("<urn:uuid:")
+    assert (one["page-id"], one["refers-to-page-id"], one["warc-refers-to-target-uri"]) == ("5", "3", "http://z")
+    assert one["warc-target-uri"] == "http://x/%20y"
+
+
+def test_addresses_are_those_of_spark(spark, tmp_path):
+    assert warc.shared_address(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert warc.shared_address(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+    with pytest.raises(Exception):
+        warc.shared_address(spark, "unknown://x/y")
 
 
 def test_components(spark):
