@@ -72,7 +72,7 @@ class PrefixHash:
         for which, prime in enumerate(PRIMES):
             own = (int(self._prefix[which][i + length]) - int(self._prefix[which][i])) % prime
             its = (int(other._prefix[which][j + length]) - int(other._prefix[which][j])) % prime
-            if own * pow(BASES[which], j, prime) % prime != its * pow(BASES[which], i, prime) % prime:
+            if own * int(other._powers[which][j]) % prime != its * int(self._powers[which][i]) % prime:
                 return False
         return True
 
@@ -87,6 +87,17 @@ class PrefixHash:
                 high = middle - 1
         return low
 
+    def common_ending(self, other: PrefixHash) -> int:
+        """The length of the longest equal spans at the ends of both texts."""
+        low, high = 0, min(self.size, other.size)
+        while low < high:
+            middle = (low + high + 1) // 2
+            if self.equal(self.size - middle, other, other.size - middle, middle):
+                low = middle
+            else:
+                high = middle - 1
+        return low
+
     def whole(self) -> str:
         return "".join(f"{int(prefix[-1]):08x}" for prefix in self._prefix) + f"{self.size:08x}"
 
@@ -100,12 +111,16 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: str) -> str:
+    """The fingerprint of a text, see ``fingerprint_of``."""
+    return fingerprint_of(PrefixHash(text))
+
+
+def fingerprint_of(hashes: PrefixHash) -> str:
     """The hash of the text (24 hexadecimal digits) and its sketch (4 for each bin).
 
     Texts shorter than a span are one span; the empty text has none, and all its
     bins are empty. An empty bin is ffff.
     """
-    hashes = PrefixHash(text)
     bins = np.full(BINS, 0xFFFF, np.uint64)
     if hashes.size:
         length = min(SPAN, hashes.size)
@@ -143,17 +158,23 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _row(doc_id, text: str, mark: str, following: str, next_mark: str) -> tuple:
+def _row(doc_id, text: str, hashes: PrefixHash, mark: str, following: str, next_hashes: PrefixHash, next_mark: str) -> tuple:
     changed = edited(text, following)
-    changed_mark = fingerprint(changed)
+    changed_hashes = PrefixHash(changed)
+    changed_mark = fingerprint_of(changed_hashes)
     return (
         doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), mark, changed_mark,
         likeness(mark, changed_mark), likeness(mark, next_mark),
+        hashes.common_extension(0, changed_hashes, 0), hashes.common_ending(changed_hashes),
+        hashes.common_extension(0, next_hashes, 0), hashes.common_ending(next_hashes),
     )
 
 
-_RESULT = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-_TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+_RESULT = [
+    "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "start_edited", "end_edited",
+    "start_next", "end_next",
+]
+_TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), *[pa.int64()] * 4]
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -165,6 +186,10 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 def compared(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Each row's fingerprint, that of its edited text, and its likeness to that and to the next row's.
 
+    Beside them, how many code points the text has in common with either at the start
+    (``start_edited``, ``start_next``) and at the end (``end_edited``, ``end_next``): its longest
+    common extensions with them there, found by binary search over the prefix hashes.
+
     The next row is that with the next smaller id, and after the last comes the
     first; a single row is its own next. Rows with a null id come last, repeated
     ids by a hash of their texts. Null texts count as empty. An empty table gives none, and
@@ -187,18 +212,19 @@ def compared(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
             done, first = [], None
             part = batch.column("part")[0].as_py() if batch.num_rows else None
             for doc_id, text in zip(batch.column("id"), batch.column("text")):
-                here = (doc_id.as_py(), text.as_py(), fingerprint(text.as_py()))
+                hashes = PrefixHash(text.as_py())
+                here = (doc_id.as_py(), text.as_py(), hashes, fingerprint_of(hashes))
                 if held is None:
                     first = here
                 else:
-                    done.append(_row(*held, here[1], here[2]))
+                    done.append(_row(*held, *here[1:]))
                 held = here
             if first is not None:
-                yield ends([("first", part, *first)], arrow_id)
+                yield ends([("first", part, first[0], first[1], first[3])], arrow_id)
             if done:
                 yield results(done, arrow_id)
         if held is not None:
-            yield ends([("last", part, *held)], arrow_id)
+            yield ends([("last", part, held[0], held[1], held[3])], arrow_id)
 
     def results(rows: list[tuple], arrow_id: pa.DataType) -> pa.RecordBatch:
         ids, *columns = zip(*rows)
@@ -216,7 +242,7 @@ def compared(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     schema = (
         f"kind string, part int, text string, id {id_type}, n_chars long, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double"
+        "edited_fingerprint string, near_edited double, near_next double, start_edited long, end_edited long, start_next long, end_next long"
     )
     walked = written(ordered.mapInArrow(walk, schema), "fingerprints")
     done = walked.filter("kind IS NULL")
@@ -236,10 +262,12 @@ def compared(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                _row(*(batch.column(c)[i].as_py() for c in ("id", "text", "fingerprint", "next_text", "next_mark")))
-                for i in range(batch.num_rows)
-            ]
+            rows = []
+            for i in range(batch.num_rows):
+                doc_id, text, mark, after, next_mark = (
+                    batch.column(c)[i].as_py() for c in ("id", "text", "fingerprint", "next_text", "next_mark")
+                )
+                rows.append(_row(doc_id, text, PrefixHash(text), mark, after, PrefixHash(after), next_mark))
             if rows:
                 yield results(rows, batch.schema.field("id").type)
 

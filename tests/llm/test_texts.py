@@ -238,21 +238,62 @@ def test_spans_and_extensions():
             assert one.common_extension(i, other, j) == longest
 
 
+def plain_fingerprint(text):
+    """The hash of the text and the least span hash of each bin, from the code points alone, in whole numbers."""
+    primes, bases = (2147483647, 2147483629), (911382323, 972663749)
+    points = [ord(c) + 1 for c in text]
+    whole = "".join(f"{sum(c * pow(b, i, p) for i, c in enumerate(points)) % p:08x}" for p, b in zip(primes, bases)) + f"{len(points):08x}"
+    least, n = {}, min(12, len(points))
+    for start in range(len(points) - n + 1 if points else 0):
+        span = sum(c * pow(bases[0], i, primes[0]) for i, c in enumerate(points[start : start + n])) % primes[0]
+        # A span's hash starts at power 0, taken back from the power of the text's last place.
+        x = (span << 32) + n
+        x = x * 0x9E3779B97F4A7C15 % 2**64
+        x ^= x >> 29
+        x = x * 0xBF58476D1CE4E5B9 % 2**64
+        x ^= x >> 32
+        least[x % 64] = min(x, least.get(x % 64, x))
+    return whole + "".join(f"{min(least[b] >> 8 & 0xFFFF, 0xFFFE) if b in least else 0xFFFF:04x}" for b in range(64))
+
+
+def plain_likeness(one, other):
+    if one == other:
+        return 1.0
+    bins = [(one[i : i + 4], other[i : i + 4]) for i in range(24, 280, 4)]
+    full = [a == b for a, b in bins if (a, b) != ("ffff", "ffff")]
+    return sum(full) / len(full) if full else 0.0
+
+
+def same_start(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
 def check_fingerprints(rows, found):
-    """``rows`` in the order that counts; ``found`` in any order."""
+    """``rows`` in the order that counts; ``found`` in any order. Nothing of the code under test is used."""
+    marks = {}
+    mark_of = lambda t: marks.get(t) or marks.setdefault(t, plain_fingerprint(t))
     expected = []
     for (name, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
         half = len(text) // 2
         changed = text[: len(text) - half] + after[:half]
-        mark, new, following = (prefix_hashes.fingerprint(t) for t in (text, changed, after))
+        mark, new, following = mark_of(text), mark_of(changed), mark_of(after)
         digest = hashlib.sha256(changed.encode()).hexdigest()
-        expected.append((name, len(text), digest, mark, new, prefix_hashes.likeness(mark, new), prefix_hashes.likeness(mark, following)))
+        expected.append((
+            name, len(text), digest, mark, new, plain_likeness(mark, new), plain_likeness(mark, following),
+            same_start(text, changed), same_start(text[::-1], changed[::-1]), same_start(text, after), same_start(text[::-1], after[::-1]),
+        ))
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
 
 
 def test_fingerprints_of_documents(spark, texts, odd):
     rows = QUERIES["op9_prefix_hashes"](spark, SMALL).collect()
-    check_fingerprints(sorted(texts.items(), reverse=True), rows)
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    few = {i: t for i, t in texts.items() if len(t) < 3000}
+    docs = spark.createDataFrame(list(few.items()), "doc_id long, text string").repartition(4)
+    check_fingerprints(sorted(few.items(), reverse=True), prefix_hashes.compared(docs).collect())
     for row in rows:
         assert 0 <= row.near_edited <= 1
     assert np.mean([r.near_edited for r in rows]) > 0.25 > 0.05 > np.mean([r.near_next for r in rows])
