@@ -9,9 +9,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DecimalType, IntegralType, NullType
 
 from tallymill.operators.layout import BLOCK_ROWS, GROUP_ROWS, Large, find_large, latest, match_rows, running, total
 
+# Keys up to this many rows have their trailing frames added up one by one.
+SPARSE_ROWS = 4096
+
 
 def asof_join(
     left: DataFrame,
@@ -63,16 +67,42 @@ def trailing(
     large: Large | None = None,
     group_rows: int = GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
+    sparse_rows: int = SPARSE_ROWS,
 ) -> DataFrame:
     """Totals over the ``span`` of time up to each row, per key.
 
     The frame is ``[time - span, time]``, or ``[time - span, time)`` without
-    ``include_now``. Rows of one instant are added up first; the total of a
-    frame is then the difference of two running totals, one at each edge.
-    Spark's own moving range frame would add up every frame anew. Totals must be
-    integers or decimals so that the difference is exact; others raise. A frame in
-    which every value is NULL, or that has no rows, has a NULL total, as in SQL.
+    ``include_now``. Keys of at most ``sparse_rows`` rows use Spark's own range frame,
+    which adds up every frame anew. For the others rows of one instant are added up
+    first; the total of a frame is then the difference of two running totals, one at
+    each edge. Totals must be integers or decimals so that the difference is exact;
+    others raise. A frame in which every value is NULL, or that has no rows, has a NULL
+    total, as in SQL.
     """
+    rough = [f.name for f in df.select(*[c.alias(n) for n, c in totals.items()]).schema if not isinstance(f.dataType, (IntegralType, DecimalType, NullType))]
+    if rough:
+        raise TypeError(f"trailing totals must be integers or decimals: {', '.join(rough)}")
+    dense = find_large(df, keys, min(sparse_rows, group_rows // 2))
+
+    def native(rows: DataFrame) -> DataFrame:
+        valued = rows.withColumns({f"_value_{n}": c for n, c in totals.items()})
+        length = "CAST(INTERVAL {} AS INTERVAL DAY TO SECOND) PRECEDING"
+        last = "CURRENT ROW" if include_now else length.format("'0.000001' SECOND")
+        by = ", ".join(f"`{k}`" for k in keys)
+        frame = f"PARTITION BY {by} ORDER BY `{time}` RANGE BETWEEN {length.format(span)} AND {last}"
+        return valued.select(*df.columns, *[F.expr(f"sum(`_value_{n}`) OVER ({frame})").alias(n) for n in totals])
+
+    def counted(rows: DataFrame) -> DataFrame:
+        found = _trailing_counted(rows, keys, time, span, totals, include_now, large, group_rows, block_rows)
+        return found.select(*df.columns, *totals)
+
+    return dense.apply(df, native, counted)
+
+
+def _trailing_counted(
+    df: DataFrame, keys: Sequence[str], time: str, span: str, totals: Mapping[str, Column], include_now: bool, large: Large | None,
+    group_rows: int, block_rows: int,
+) -> DataFrame:
     if large is None:
         # Each row makes at most two marks.
         large = find_large(df, keys, group_rows // 2)

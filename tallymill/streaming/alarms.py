@@ -15,6 +15,11 @@ _PENDING = "low array<bigint>, high array<bigint>, n array<bigint>"
 _RESULT = "user_id long, last long, n_events long, alarm_no long"
 
 
+def _rows(done: list[tuple]) -> pd.DataFrame:
+    """Alarms as rows; the user may be null, who is a user like any other."""
+    return pd.DataFrame(done, columns=["user_id", "last", "n_events", "alarm_no"], dtype="Int64")
+
+
 class Silence(StatefulProcessor):
     """Tells when a user has done nothing for ``gap`` microseconds, and how often that has been so.
 
@@ -43,7 +48,7 @@ class Silence(StatefulProcessor):
                 old = stretches.get(slot)
                 stretches[slot] = (low, high, n) if old is None else (min(low, old[0]), max(high, old[1]), n + old[2])
         self._keep(stretches)
-        yield pd.DataFrame({"user_id": [], "last": [], "n_events": [], "alarm_no": []}, dtype="int64")
+        yield _rows([])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         stretches = self._stretches()
@@ -55,13 +60,13 @@ class Silence(StatefulProcessor):
             if last + self._gap >= reached:
                 break
             number += 1
-            done.append((key[0], last, sum(stretches[s][2] for s in slots), number))
+            done.append((None if key[1] else key[0], last, sum(stretches[s][2] for s in slots), number))
             for slot in slots:
                 del stretches[slot]
         if done:
             self._alarms.update((number,))
             self._keep(stretches)
-        yield pd.DataFrame(done, columns=["user_id", "last", "n_events", "alarm_no"], dtype="int64")
+        yield _rows(done)
 
     def close(self) -> None:
         pass
@@ -104,8 +109,10 @@ def silences(delay: str, gap_seconds: int) -> Transform:
     """
 
     def job(stream: DataFrame) -> DataFrame:
-        rows = stream.filter("user_id IS NOT NULL").select("user_id", "at", F.unix_micros("at").alias("micros")).withWatermark("at", delay)
-        alarms = rows.groupBy("user_id").transformWithStateInPandas(
+        # A key of state cannot be null.
+        user, unknown = F.coalesce("user_id", F.lit(0).cast("long")).alias("user"), F.col("user_id").isNull().alias("unknown")
+        rows = stream.select(user, unknown, "at", F.unix_micros("at").alias("micros")).withWatermark("at", delay)
+        alarms = rows.groupBy("user", "unknown").transformWithStateInPandas(
             statefulProcessor=Silence(gap_seconds * 1_000_000), outputStructType=_RESULT, outputMode="Append", timeMode="EventTime"
         )
         last = zone_less(F.timestamp_micros("last"))

@@ -178,7 +178,7 @@ def test_asof(skewed, skewed_df, form, inclusive, null_safe):
 
 
 @pytest.mark.parametrize("include_now", [True, False])
-@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("form", [*FORMS, {"sparse_rows": 0}, {"sparse_rows": 150}, {"sparse_rows": 60, "group_rows": 300, "block_rows": 50}])
 def test_trailing(skewed, skewed_df, form, include_now):
     got = trailing(
         skewed_df.select("event_id", "user_id", "ts", "value"),
