@@ -74,7 +74,34 @@ def op6_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
-@query("op7_suffix_dedup")
+@query(
+    "op7_suffix_dedup",
+    """
+    WITH docs AS (
+      SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM documents),
+    marks AS (
+      SELECT r, s, md5(array_slice(b, s, s + 199)) AS m FROM (SELECT r, b, unnest(range(1, n - 198)) AS s FROM docs WHERE n >= 200)),
+    often AS (SELECT m FROM marks GROUP BY m HAVING count(*) > 1),
+    hits AS (SELECT r, s FROM marks WHERE m IN (SELECT m FROM often)),
+    -- Strings that overlap or touch make one run.
+    runs AS (
+      SELECT r, min(s) AS low, max(s) + 199 AS high
+      FROM (SELECT r, s, sum(new) OVER (PARTITION BY r ORDER BY s) AS run
+            FROM (SELECT r, s, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + 200 THEN 0 ELSE 1 END AS new FROM hits))
+      GROUP BY r, run),
+    edges AS (
+      SELECT r, low, high FROM runs UNION ALL SELECT r, n + 1, n + 1 FROM docs),
+    pieces AS (
+      SELECT r, low, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low, high), 0) + 1 AS from_byte, low - 1 AS to_byte FROM edges),
+    kept AS (
+      SELECT r, string_agg(CASE WHEN to_byte >= from_byte THEN hex(array_slice(b, from_byte, to_byte)) ELSE '' END, '' ORDER BY low) AS bytes
+      FROM pieces JOIN docs USING (r) GROUP BY r),
+    removed AS (SELECT r, sum(high - low + 1) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(bytes)) AS kept_sha256
+    FROM docs JOIN kept USING (r) LEFT JOIN removed USING (r)
+    """,
+)
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, folder, "documents"), length=200)
 

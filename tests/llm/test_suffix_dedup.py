@@ -7,9 +7,11 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import __spark_entry__ as contract
 from tallymill.llm import key_filter, suffix_dedup
 from tallymill.llm.queries import QUERIES
 from tallymill.llm.suffix_grouping import suffix_array
+from tests.compare import differences, duck
 from tests.conftest import SMALL
 
 
@@ -37,6 +39,11 @@ def test_query_equals_counting_every_string(spark):
     assert found(QUERIES["op7_suffix_dedup"](spark, SMALL)) == plain([(d, t.encode()) for d, t in docs])
 
 
+def test_query_equals_sql(spark):
+    got = contract.queries()["op7_suffix_dedup"](spark, SMALL).toArrow()
+    assert differences(got, duck(SMALL).sql(contract.oracle_sql()["op7_suffix_dedup"]).to_arrow_table()) == []
+
+
 def made_up(draw):
     word = lambda: "".join(draw.choice("abcdeé") for _ in range(draw.randrange(1, 9)))
     text = lambda n: " ".join(word() for _ in range(n))
