@@ -71,7 +71,8 @@ def key_filter(keys: DataFrame) -> KeyFilter:
 
     dealt = keys.select("key", F.col("key").bitwiseAND(F.lit(blocks - 1)).alias("block")).repartition("block").select("key")
     bits = np.zeros(blocks << (_BLOCK_LOG2 - 3), np.uint8)
-    for row in dealt.mapInArrow(fill, "block int, bits binary").toLocalIterator():
+    # 64 MB at most, however long the list.
+    for row in dealt.mapInArrow(fill, "block int, bits binary").collect():
         size = len(row["bits"])
         bits[row["block"] * size : (row["block"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
     return KeyFilter(bits, blocks)

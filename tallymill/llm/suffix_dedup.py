@@ -261,8 +261,8 @@ def _occurrences(rows: DataFrame, length: int, wanted: KeyFilter) -> DataFrame:
 
 
 def _bodies(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(``key``, ``content``, ``body``): the bytes of passages, cut from the texts that hold them."""
-    lists = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("key", "content", "start", "windows")).alias("cuts"))
+    """(``key``, ``content``, ``kinds``, ``body``): the bytes of passages, cut from the texts that hold them."""
+    lists = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("key", "content", "start", "windows", "kinds")).alias("cuts"))
     lists = lists.withColumnsRenamed({"id": "_id", "h": "_h"})
     joined = rows.join(lists, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))).select("text", "cuts")
 
@@ -280,11 +280,10 @@ def _bodies(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 for i in range(at, at + size):
                     bodies.append(data[starts[i] : starts[i] + windows[i] + length - 1])
                 at += size
-            yield pa.RecordBatch.from_arrays(
-                [fields.field("key"), fields.field("content"), pa.array(bodies, pa.binary())], names=["key", "content", "body"]
-            )
+            columns = [fields.field("key"), fields.field("content"), fields.field("kinds"), pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "content", "kinds", "body"])
 
-    return joined.mapInArrow(cut, "key long, content long, body binary")
+    return joined.mapInArrow(cut, "key long, content long, kinds long, body binary")
 
 
 def _sorted_out(bodies: DataFrame, length: int) -> DataFrame:
@@ -355,19 +354,15 @@ def _removals(rows: DataFrame, length: int, crowd: int) -> DataFrame:
         "distinct-passages",
     )
     kinds = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
-    unclear = distinct.join(kinds.withColumnRenamed("kinds", "n_kinds"), "key").filter("n > 1 OR n_kinds > 1")
+    unclear = distinct.join(kinds, "key").filter("n > 1 OR kinds > 1")
     # The first occurrence, and the last one where there are several.
     cuts = F.array(
         F.struct("at.id", "at.h", _start(F.substring("at.starts", 1, 4)).alias("start")),
         F.when(F.col("n") > 1, F.struct("to.id", "to.h", _start(F.substring("to.starts", -4, 4)).alias("start"))),
     )
-    wanted = unclear.select("key", "content", "windows", F.explode(F.array_compact(cuts)).alias("cut"))
-    bodies = written(
-        _bodies(rows, wanted.select("key", "content", "windows", "cut.id", "cut.h", "cut.start"), length)
-        .join(kinds.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"))
-        .select("key", "content", "body", "kinds"),
-        "bodies",
-    )
+    wanted = unclear.select("key", "content", "windows", "kinds", F.explode(F.array_compact(cuts)).alias("cut"))
+    wanted = wanted.select("key", "content", "windows", "kinds", "cut.id", "cut.h", "cut.start")
+    bodies = written(_bodies(rows, wanted, length), "bodies")
     verdicts = _sorted_out(bodies.filter(F.col("kinds") <= crowd), length).unionByName(
         _counted_out(bodies.filter(F.col("kinds") > crowd), length)
     )
