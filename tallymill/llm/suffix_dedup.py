@@ -11,9 +11,10 @@ passage, at most twice as long as a window.
    text, and a second one, from elsewhere, if it occurs again. (Passages are told
    apart by 128 bits of hash: n of them meet by chance with odds of n^2 to 2^129.)
 3. The passages of an anchor are brought together, joined into strings, and sorted
-   into suffix arrays by grouping (``suffix_grouping``). Symbols are words, ranked by
-   their bytes, so that word and byte order agree; windows that start inside a word
-   follow from the rank of the suffix behind it. Bytes decide which windows are equal.
+   into suffix arrays by grouping (``suffix_grouping``). Symbols are phrases of some words,
+   ranked by their bytes, so that the order of phrases and of bytes agree; windows that
+   start inside a phrase follow from the rank of the suffix behind it. Bytes decide which
+   windows are equal.
 4. An anchor with very many different passages is not brought together: its windows
    are counted one by one, with partial counts in every task, by 128 bits of hash.
 5. The repeated windows of each text are united and cut out.
@@ -44,6 +45,8 @@ CROWD = 4096
 #: Bytes of passages that go into one suffix array, about.
 BATCH_BYTES = 1 << 20
 
+#: Words of a phrase, about: a power of two.
+_PHRASE = 4
 _PIECE = 1 << 22
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -125,40 +128,57 @@ def repeated_windows(texts: Sequence[bytes], length: int = LENGTH, copies: Seque
     ends = np.cumsum(sizes)
     data = b"".join(texts)
     flat = np.frombuffer(data, np.uint8)
+    if not len(flat):
+        return [np.zeros(0, bool) for _ in texts]
     text_of = np.repeat(np.arange(len(texts)), sizes)
     # A word ends with its first white space, so that no word is a prefix of another,
     # but for the last words of texts, which come first as the ends of texts do.
     is_start = np.empty(len(flat), bool)
     is_start[1:] = flat[:-1] <= 0x20
-    is_start[(ends - sizes)[sizes > 0]] = True
-    starts = np.flatnonzero(is_start)
+    begins = (ends - sizes)[sizes > 0]
+    is_start[begins] = True
+    words = np.flatnonzero(is_start)
+    prefix, back = _prefix(flat), _powers(_INVERSE)
+    # A symbol is a phrase: words up to one whose hash says so. Equal words end phrases
+    # alike, so that no phrase is a prefix of another either, and there are fewer symbols.
+    word_stops = np.append(words[1:], len(flat))
+    last = _mixed((prefix[word_stops] - prefix[words]) * back[words]) & np.uint64(_PHRASE - 1) == 0
+    opens = np.zeros(len(words), bool)
+    opens[np.searchsorted(words, begins)] = True
+    opens[1:] |= last[:-1]
+    starts = words[opens]
     stops = np.append(starts[1:], len(flat))
-    words = [data[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
-    ranks = {word: rank for rank, word in enumerate(sorted(set(words)), start=1)}
+    phrases = [data[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
+    ranks = {phrase: rank for rank, phrase in enumerate(sorted(set(phrases)), start=1)}
     owner = text_of[starts]
-    symbols = np.zeros(len(words) + len(texts), np.int64)
-    place = np.arange(len(words)) + owner
-    symbols[place] = [ranks[word] for word in words]
+    symbols = np.zeros(len(phrases) + len(texts), np.int64)
+    place = np.arange(len(phrases)) + owner
+    symbols[place] = [ranks[phrase] for phrase in phrases]
     order = suffix_array(symbols)
     order = order[symbols[order] > 0]
-    word_at = np.full(len(symbols), -1, np.int64)
-    word_at[place] = np.arange(len(words))
-    order = word_at[order]
-    rank = np.empty(len(words), np.int64)
-    rank[order] = np.arange(len(words))
+    phrase_at = np.full(len(symbols), -1, np.int64)
+    phrase_at[place] = np.arange(len(phrases))
+    order = phrase_at[order]
+    rank = np.empty(len(phrases), np.int64)
+    rank[order] = np.arange(len(phrases))
 
     windows = np.lib.stride_tricks.sliding_window_view(np.concatenate([flat, np.zeros(length, np.uint8)]), length)
     rest = ends[owner] - starts
     common = _common(windows, starts[order], rest[order], length)
-    prefix, back = _prefix(flat), _powers(_INVERSE)
     several = np.zeros(len(texts), bool) if copies is None else np.asarray(copies) > 1
     repeated = np.zeros(len(flat), bool)
-    # Each window starts ``inside`` bytes before the end of a word: the rank of the
-    # suffix behind that word, and the bytes before it, tell equal windows. What
-    # comes before a window plays no part, as a text may begin inside a word.
+    # Each window starts ``inside`` bytes before the end of a phrase: the rank of the
+    # suffix behind that phrase, and the bytes before it, tell equal windows. The phrase is
+    # the first one of which the last word starts behind the window's start: what comes
+    # before a window, or the word in which it starts, plays no part, as a text may begin anywhere.
     stop_rank = np.append(rank[1:], -1)
     text_end = ends[owner]
-    sizes_of_words = stops - starts
+    last_word = words[np.append(np.flatnonzero(opens)[1:], len(words)) - 1]
+    # Windows of this phrase start from the last word of the phrase before it in the text.
+    from_byte = np.where(np.append(False, owner[1:] == owner[:-1]), np.append(0, last_word[:-1]), starts)
+    # The last phrase of a text ends with the text, where no window ends before it does.
+    ended = np.append(owner[1:] == owner[:-1], False)[: len(owner)]
+    least, most = stops - last_word + 1, stops - from_byte
 
     def mark(at: np.ndarray, upto: int, kind: np.ndarray | int) -> None:
         """Mark the windows whose first bytes and kinds are equal, and that are equal throughout."""
@@ -173,14 +193,21 @@ def repeated_windows(texts: Sequence[bytes], length: int = LENGTH, copies: Seque
             repeated[at[equal]] = True
             repeated[at[equal + 1]] = True
 
-    for inside in range(1, min(int(sizes_of_words.max(initial=0)) + 1, length)):
-        chosen = np.flatnonzero((sizes_of_words >= inside) & (stops - inside + length <= text_end))
-        same_as_last = np.cumsum(np.append(0, common < length - inside))
-        mark(stops[chosen] - inside, inside, same_as_last[stop_rank[chosen]])
-    # Words that reach over a whole window.
-    long = np.flatnonzero(sizes_of_words >= length)
-    if len(long):
-        mark(np.concatenate([np.arange(starts[w], stops[w] - length + 1) for w in long]), length, 0)
+    for inside in range(2, min(int(most.max(initial=0)) + 1, length)):
+        chosen = np.flatnonzero(ended & (least <= inside) & (inside <= most) & (stops - inside + length <= text_end))
+        if len(chosen):
+            same_as_last = np.cumsum(np.append(0, common < length - inside))
+            mark(stops[chosen] - inside, inside, same_as_last[stop_rank[chosen]])
+    # Windows that no phrase ends inside of.
+    whole = np.zeros(len(flat) + 1, np.int64)
+    upto = np.where(ended, np.minimum(last_word, stops - length + 1), stops - length + 1)
+    wide = np.flatnonzero(upto > from_byte)
+    np.add.at(whole, from_byte[wide], 1)
+    np.add.at(whole, upto[wide], -1)
+    at = np.flatnonzero(np.cumsum(whole)[:-1] > 0)
+    at = at[at + length <= ends[text_of[at]]]
+    if len(at):
+        mark(at, length, 0)
     begins = ends - sizes
     return [repeated[b : max(b, e - length + 1)] for b, e in zip(begins.tolist(), ends.tolist())]
 

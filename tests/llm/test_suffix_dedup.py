@@ -106,6 +106,25 @@ def test_clashing_columns_come_back_unchanged(spark):
     assert {r.doc_id: r.text for r in kept.collect()} == {1: "", 2: "", 3: None, 4: "short"}
 
 
+def test_repeated_windows_equal_counting():
+    draw = random.Random(5)
+    for _ in range(2500):
+        length, letters = draw.choice([3, 5, 8, 20]), draw.choice(["ab ", "abc  ", "a b\nc", "abcdefgh "])
+        text = lambda n: "".join(draw.choice(letters) for _ in range(draw.randrange(n)))
+        base = text(80) + "x"
+        texts = []
+        for _ in range(draw.randrange(1, 7)):
+            start = draw.randrange(len(base))
+            texts.append(draw.choice([text(6) + base[start : start + draw.randrange(60)] + text(6), text(50)]).encode())
+        copies = [draw.choice([1, 1, 2]) for _ in texts]
+        seen = Counter()
+        for t, n in zip(texts, copies):
+            for i in range(len(t) - length + 1):
+                seen[t[i : i + length]] += n
+        expected = [[seen[t[i : i + length]] > 1 for i in range(len(t) - length + 1)] for t in texts]
+        assert [f.tolist() for f in suffix_dedup.repeated_windows(texts, length, copies)] == expected
+
+
 def test_suffix_arrays():
     draw = random.Random(1)
     for _ in range(600):
