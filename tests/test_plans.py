@@ -87,3 +87,9 @@ def test_a_hot_join_key_is_split(spark, no_broadcast):
         assert joined.agg(F.count_if(F.col("n") == 100_001)).first()[0] == 100_001
         joined.collect()
         assert "skew=true" in plan(joined)
+
+
+def test_no_sketch_is_kept_per_user(spark):
+    lines = [line for line in plan(QUERIES["approx_distinct"](spark, SMALL)).splitlines() if "approx_count_distinct(" in line]
+    keys = [re.search(r"keys?=\[([^\]]*)\]", line).group(1) for line in lines]
+    assert keys and all(re.fullmatch(r"event_type#\d+", k) for k in keys)
