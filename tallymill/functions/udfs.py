@@ -7,39 +7,53 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row, functions as F
-from pyspark.sql.functions import udtf
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.functions import arrow_udtf
 
 from tallymill.operators.sessions import micros
 
 
-@udtf(returnType="order_key long, box int, n_lines int, quantity double")
+@arrow_udtf(returnType="order_key long, box int, n_lines int, quantity double")
 class Boxes:
-    """Table function over rows (order key, quantity, capacity), partitioned by order and sorted: what goes into which box.
+    """Table function over rows (order key, quantity, capacity), dealt by order and sorted by order: what goes into which box.
 
     A line goes into the box that is open if it still fits, else that box is closed and
     the line opens the next one; a line above the capacity has a box of its own. Each box
-    depends on all before it. The rows of an order pass through one by one, so an order
-    of any length needs no memory. Lines without a quantity are not packed.
+    depends on all before it. Rows come as Arrow batches that know nothing of orders, and
+    the open box is kept from batch to batch, so an order of any length needs no memory.
+    Lines without a quantity are not packed.
     """
 
     def __init__(self) -> None:
         self._order, self._box, self._lines, self._fill = None, 0, 0, 0.0
 
-    def eval(self, line: Row) -> Iterator[tuple]:
-        order, quantity, capacity = line[0], line[1], line[2]
-        if quantity is None:
-            return
-        if self._lines and self._fill + quantity > capacity:
-            yield self._order, self._box, self._lines, self._fill
-            self._lines, self._fill = 0, 0.0
-        if not self._lines:
-            self._order, self._box = order, self._box + 1
-        self._lines, self._fill = self._lines + 1, self._fill + quantity
-
-    def terminate(self) -> Iterator[tuple]:
+    def eval(self, lines: pa.RecordBatch) -> Iterator[pa.Table]:
+        lines = lines.filter(lines.column(1).is_valid())
+        order, box, n_lines, fill = self._order, self._box, self._lines, self._fill
+        closed = []
+        for this, quantity, capacity in zip(*map(self._values, lines.columns)):
+            if n_lines:
+                if this == order and not fill + quantity > capacity:
+                    n_lines, fill = n_lines + 1, fill + quantity
+                    continue
+                closed.append((order, box, n_lines, fill))
+            box = box + 1 if this == order else 1
+            order, n_lines, fill = this, 1, 0.0 + quantity
+        self._order, self._box, self._lines, self._fill = order, box, n_lines, fill
+        yield self._table(closed)
+
+    def terminate(self) -> Iterator[pa.Table]:
         if self._lines:
-            yield self._order, self._box, self._lines, self._fill
+            yield self._table([(self._order, self._box, self._lines, self._fill)])
+
+    def _values(self, column: pa.Array) -> list:
+        return column.to_pylist() if column.null_count else column.to_numpy().tolist()
+
+    def _table(self, closed: list[tuple]) -> pa.Table:
+        columns = zip(*closed) if closed else [()] * 4
+        types = {"order_key": pa.int64(), "box": pa.int32(), "n_lines": pa.int32(), "quantity": pa.float64()}
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types.values())], names=list(types))
 
 
 def circular_means(df: DataFrame, keys: Sequence[str], time: str, period_seconds: int) -> DataFrame:

@@ -42,10 +42,15 @@ def udaf(spark: SparkSession, folder: str) -> DataFrame:
 )
 def udtf(spark: SparkSession, folder: str) -> DataFrame:
     """The boxes of 60 pieces into which the lines of each order go, large lines first."""
+    # PARTITION BY would call the function once per order; it tells the orders of a sorted batch apart itself.
     spark.udtf.register("boxes", Boxes)
     return sql(
         spark,
         folder,
-        "SELECT * FROM boxes(TABLE(SELECT l_orderkey, l_quantity, 60.0D AS capacity FROM {lineitem}) PARTITION BY l_orderkey ORDER BY l_quantity DESC)",
+        """
+        SELECT * FROM boxes(TABLE(
+            SELECT l_orderkey, l_quantity, 60.0D AS capacity FROM {lineitem}
+            DISTRIBUTE BY l_orderkey SORT BY l_orderkey, l_quantity DESC))
+        """,
         "lineitem",
     )
