@@ -16,7 +16,8 @@ passage, at most twice as long as a window.
    start inside a phrase follow from the rank of the suffix behind it. Bytes decide which
    windows are equal.
 4. An anchor with very many different passages is not brought together: its windows
-   are counted one by one, with partial counts in every task, by 128 bits of hash.
+   are counted one by one, by 128 bits of hash: within a batch where the passages are
+   read, and over all batches by one row for each window and batch.
 5. The repeated windows of each text are united and cut out.
 """
 
@@ -30,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallymill.llm.key_filter import KeyFilter, key_filter
 from tallymill.llm.rows import column, digest, packed, text_or_empty, unpacked
@@ -349,22 +350,66 @@ def _sorted_out(bodies: DataFrame, length: int) -> DataFrame:
 
 
 def _counted_out(bodies: DataFrame, length: int) -> DataFrame:
-    """As ``_sorted_out``, by counting every window on its own; no anchor's passages are brought together."""
+    """As ``_sorted_out``, by counting every window on its own; no anchor's passages are brought together.
+
+    Windows that repeat within about ``BATCH_BYTES`` of passages are decided there. One
+    row stands for all of them in the count over the whole table, which asks about the
+    others: a window has at most one row for each batch, however often it occurs.
+    """
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[int, int, bytes]] = []
+        held = 0
         for batch in batches:
-            for key, content, body in zip(batch.column("key").to_pylist(), batch.column("content").to_pylist(), batch.column("body")):
-                data = body.as_py()
-                n = len(data) - length + 1
-                marks = [xxhash.xxh3_128_digest(data[i : i + length]) for i in range(n)]
-                columns = [pa.array([key] * n, pa.int64()), pa.array([content] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(marks, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "content", "at", "mark"])
-
-    marked = written(bodies.mapInArrow(windows, "key long, content long, at int, mark binary"), "windows")
-    often = marked.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
-    single = marked.join(often, "mark").groupBy("key", "content").agg(F.sort_array(F.collect_list("at")).alias("ats"))
-    # Each start is a range of one window; ranges are united when they are cut out.
-    return single.select("key", "content", F.flatten(F.transform("ats", lambda a: F.array(a, a + 1))).alias("ranges"))
+            for passage in zip(batch.column("key").to_pylist(), batch.column("content").to_pylist(), batch.column("body")):
+                waiting.append((*passage[:2], passage[2].as_py()))
+                held += len(waiting[-1][2])
+                if held >= BATCH_BYTES:
+                    yield from counted(waiting)
+                    waiting, held = [], 0
+        if waiting:
+            yield from counted(waiting)
+
+    def counted(waiting: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        bodies = [body for _, _, body in waiting]
+        sizes = np.array([len(body) - length + 1 for body in bodies], np.int64)
+        ends = np.cumsum(sizes)
+        marks = b"".join(xxhash.xxh3_128_digest(body[i : i + length]) for body in bodies for i in range(len(body) - length + 1))
+        halves = np.frombuffer(marks, "<u8").reshape(-1, 2)
+        order = np.lexsort((halves[:, 0], halves[:, 1]))
+        same = (halves[order[1:]] == halves[order[:-1]]).all(axis=1)
+        repeated = np.zeros(len(order), bool)
+        repeated[order[1:][same]] = repeated[order[:-1][same]] = True
+        # What is decided here: the passages' ranges, without a mark.
+        rows = [
+            (None, key, content, ranges(repeated[end - size : end]))
+            for (key, content, _), size, end in zip(waiting, sizes.tolist(), ends.tolist())
+            if repeated[end - size : end].any()
+        ]
+        if rows:
+            yield as_batch(rows)
+        # One row for each different window; the passage is asked for if it is the only one here.
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        first = np.sort(order[np.append(True, ~same)])
+        for cut in range(0, len(first), 1 << 15):
+            chosen = first[cut : cut + (1 << 15)]
+            start = chosen - (ends - sizes)[owner[chosen]]
+            rows = []
+            for i, at, who, known in zip(chosen.tolist(), start.tolist(), owner[chosen].tolist(), repeated[chosen].tolist()):
+                mark = marks[16 * i : 16 * i + 16]
+                rows.append((mark, None, None, None) if known else (mark, *waiting[who][:2], [at, at + 1]))
+            yield as_batch(rows)
+
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        types = {"mark": pa.binary(), "key": pa.int64(), "content": pa.int64(), "ranges": pa.list_(pa.int32())}
+        columns = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values())], names=list(types))
+
+    marked = written(bodies.mapInArrow(windows, "mark binary, key long, content long, ranges array<int>"), "windows")
+    asked = marked.filter("mark IS NOT NULL").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("mark")))
+    found = marked.filter("mark IS NULL").unionByName(asked.filter("n > 1 AND key IS NOT NULL").drop("n"))
+    # Ranges are united when they are cut out.
+    return found.groupBy("key", "content").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def _removals(rows: DataFrame, length: int, crowd: int) -> DataFrame:

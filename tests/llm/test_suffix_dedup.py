@@ -13,6 +13,7 @@ from tallymill.llm.queries import QUERIES
 from tallymill.llm.suffix_grouping import suffix_array
 from tests.compare import differences, duck
 from tests.conftest import SMALL
+from tests.test_plans import plan
 
 
 def plain(rows, length=200):
@@ -63,6 +64,28 @@ def test_made_up_rows(spark, crowd):
     assert found(suffix_dedup.removed(docs, crowd=crowd)) == plain([(a, (b or "").encode()) for a, b in rows])
 
 
+def test_windows_of_a_crowd_meet_without_a_join(spark, monkeypatch):
+    draw = random.Random(8)
+    common = draw.randbytes(150)
+    bodies = [common + draw.randbytes(60) for _ in range(30)] + [draw.randbytes(20) + common + b"x" * 49 + draw.randbytes(9) for _ in range(200)]
+    # The last passages share a window with one another, some a longer run; one occurs twice, one alone.
+    bodies += [bodies[0], bodies[40][:215], draw.randbytes(230), b"y" * 230]
+    rows = [(1, i, body) for i, body in enumerate(bodies)] + [(1, len(bodies) - 4, bodies[0])]
+    seen = Counter(body[i : i + 200] for _, _, body in rows for i in range(len(body) - 199))
+    expected = {(k, c, i) for k, c, body in rows for i in range(len(body) - 199) if seen[body[i : i + 200]] > 1}
+    tables, written = [], suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda df, label: tables.append(written(df, label)) or tables[-1])
+    for size in (1, 5_000, 1 << 20):
+        monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", size)
+        verdicts = suffix_dedup._counted_out(spark.createDataFrame(rows, "key long, content long, body binary").repartition(3), 200)
+        got = [tuple(r) for r in verdicts.collect()]
+        assert len({r[:2] for r in got}) == len(got)
+        assert {(k, c, i) for k, c, edges in got for a, b in zip(edges[::2], edges[1::2]) for i in range(a, b)} == expected
+        assert "Join" not in plan(verdicts)
+    # With all of a task's passages in one batch, a window has one row a task.
+    assert tables[-1].filter("mark IS NOT NULL").groupBy("mark").count().selectExpr("max(count)").first()[0] <= 3
+
+
 def test_cut_texts(spark):
     rows = made_up(random.Random(5))
     docs = spark.createDataFrame([(a, b, 0) for a, b in rows], "doc_id long, text string, n_chars long")
